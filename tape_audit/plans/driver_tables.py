@@ -52,7 +52,7 @@ def order_loans(orders: DataFrame) -> DataFrame:
         F.array(start).alias("disbursal_readings"),
         (1 + cust % 30).cast("double").alias("interest_rate"), term.cast("bigint").alias("loan_term_months"),
         expected.alias("expected_repayment_date"), F.array(expected).alias("expected_readings"),
-        F.round(F.col("o_totalprice") / 50, 2).alias("monthly_payment"), (k % 45).alias("days_late"),
+        (F.floor(F.col("o_totalprice") * 2) / 100).alias("monthly_payment"), (k % 45).alias("days_late"),
         outstanding.alias("outstanding_principal"),
         (F.col("o_totalprice") - outstanding - F.when(k % 13 == 0, 5.0).otherwise(0.0)).alias(
             "repaid_principal"),
@@ -117,7 +117,7 @@ def order_payments(lineitem: DataFrame) -> DataFrame:
     pending = (
         F.when(paid, F.when(supp % 37 == 0, 10.0).otherwise(0.0))
         .when(supp % 41 == 0, amount + 1.0).when((kind <= 1) & (supp % 5 == 0), 0.0)
-        .when(c("l_returnflag") == "R", F.round(amount / 2, 2)).otherwise(amount)
+        .when(c("l_returnflag") == "R", F.floor(amount * 50) / 100).otherwise(amount)
     )
     state = (
         F.when(paid, F.when(F.coalesce(F.datediff(actual, due) <= 5, F.lit(True)) | (supp % 29 == 0),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import date
 
@@ -196,14 +197,17 @@ def to_payments(loans: DataFrame) -> DataFrame:
     return diary.type_records(exploded, [*KEY, "loan_id"]).select(*PAYMENT_BASE)
 
 
-def build_ledger(raw: DataFrame, policy: Policy = Policy(), as_of: date | None = None) -> Ledger:
-    """Raw all-text tape with key columns to a ledger. Schema faults reject the whole tape."""
+def build_ledger(raw: DataFrame, policy: Policy = Policy(), as_of: date | None = None,
+                 stager: Callable[[DataFrame], DataFrame] | None = None) -> Ledger:
+    """Raw all-text tape with key columns to a ledger. Schema faults reject the whole tape. ``stager`` stores
+    the typed rows, so that the text is decoded once however many plans read them."""
     schema = check_schema(raw.columns, policy.dictionary)
     if not schema.ok:
         raise TapeRejectedError(
             f"tape rejected: missing {list(schema.required_missing)}, duplicated {list(schema.duplicated)}"
         )
-    loans, quarantine = split_quarantine(to_loans(raw, policy))
+    typed = to_loans(raw, policy)
+    loans, quarantine = split_quarantine(stager(typed) if stager else typed)
     return Ledger(
         loans=loans.drop("records"), payments=to_payments(loans), quarantine=quarantine,
         missing_columns=frozenset(schema.optional_missing), as_of=as_of or policy.as_of,

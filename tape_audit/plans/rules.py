@@ -39,24 +39,30 @@ class Check:
     evidence: dict[str, Column] = field(default_factory=dict)
 
 
-def assess(ledger: Ledger, policy: Policy = Policy()) -> DataFrame:
-    """One row per loan: typed summary fields and every payment feature. Loans without records survive.
-    ``ledger`` must be prepared and should be staged: its payments feed five narrow aggregations."""
-    c = F.col
-    p, giant = ledger.payments, ledger.giant_loans
-    main = X.loan_measures(p, policy, ledger.as_of)
-    accrual = X.interest_accrual(ledger, policy)
-    rates = X.realised_rates(ledger, X.rate_candidates(ledger, policy), policy)
+PARTS = ("main", "accrual", "rates", "profile", "tail")
+_COUNTS = (
+    "due_late_default", "due_late_band", "due_overdue_default", "due_open", "periods", "periods_interest",
+    "periods_principal", "periods_interest_only", "principal_dates", "schedule_gaps", "schedule_doubles",
+    "episodes", "recent_exceeding", "slot_conflicts", "interest_checked", "interest_missed",
+    "interest_isolated", "unpaid_streak",
+)
+
+
+def assess(ledger: Ledger, policy: Policy = Policy(), parts: tuple[str, ...] = PARTS) -> DataFrame:
+    """One row per loan: typed summary fields and the payment features of ``parts``. Loans without records
+    survive. ``ledger`` must be prepared; with several parts its payments should be staged first."""
+    c, p, giant = F.col, ledger.payments, ledger.giant_loans
+    build = {
+        "main": lambda: X.loan_measures(p, policy, ledger.as_of),
+        "accrual": lambda: X.interest_accrual(ledger, policy),
+        "rates": lambda: X.realised_rates(ledger, X.rate_candidates(ledger, policy), policy),
+        "profile": lambda: behaviour_profile(p, policy, giant=giant),
+        "tail": lambda: trailing_unpaid(p, giant=giant),
+    }
     wide = ledger.loans
-    for part in (main, accrual, rates, behaviour_profile(p, policy, giant=giant),
-                 trailing_unpaid(p, giant=giant)):
-        wide = wide.join(part, KEY, "left")
-    zero = [n for n in main.columns if n[:2] in ("n_", "m_")] + [
-        "due_late_default", "due_late_band", "due_overdue_default", "due_open", "periods",
-        "periods_interest", "periods_principal", "periods_interest_only", "principal_dates",
-        "schedule_gaps", "schedule_doubles", "episodes", "recent_exceeding", "slot_conflicts",
-        "interest_checked", "interest_missed", "interest_isolated", "unpaid_streak",
-    ]
+    for name in parts:
+        wide = wide.join(build[name](), KEY, "left")
+    zero = [n for n in wide.columns if (n[:2] in ("n_", "m_") and n != "n_records") or n in _COUNTS]
     return wide.withColumns({n: F.coalesce(c(n), F.lit(0).cast("bigint")) for n in zero})
 
 
