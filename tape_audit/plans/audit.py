@@ -51,7 +51,7 @@ def assess_ledger(ledger: Ledger, policy: Policy = Policy()) -> tuple[Ledger, Da
 def verdicts(assessed: DataFrame, ledger: Ledger, policy: Policy = Policy()) -> DataFrame:
     keep = [*VERDICT_KEEP, "diary_error", "evidence_complete"]
     evaluated = rules.evaluate(assessed, policy, ledger.missing_columns, ledger.as_of, keep)
-    return judgement.judge(judgement.collect_outcomes(evaluated, keep), policy, VERDICT_KEEP)
+    return judgement.judge(judgement.link_causes(evaluated), policy, VERDICT_KEEP)
 
 
 def run_id(tape_digest: str, policy: Policy, as_of: date) -> str:

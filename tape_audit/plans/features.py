@@ -1,8 +1,8 @@
 """Loan-level features: everything the rules need, from pre-aggregated passes over the payments.
 
-The main pass adds up per (loan, due date) and then per loan. The first step bounds a giant loan by its
-calendar and makes "how many distinct due dates" a plain count in the second step. Both steps combine on the
-map side. Sums are exact integers.
+Plain counts, sums and extremes come from one aggregation per loan. What depends on distinct due dates is
+aggregated per (loan, due date) first, which bounds a giant loan by its calendar. All of it combines on the
+map side, in number-only buffers, and sums are exact integers.
 """
 
 from __future__ import annotations
@@ -36,6 +36,21 @@ def worst_due(packed: Column) -> Column:
     return F.date_from_unix_date((F.lit(_EPOCH_SHIFT) - F.pmod(packed, F.lit(_DAY_SPAN))).cast("int"))
 
 
+# Date layouts, as codes so that their extremes stay in plain number aggregation buffers.
+DATE_FORMATS = ("%d/%m/%Y", "%m/%d/%Y", "date", "datetime", "iso")
+
+
+def format_code(fmt: Column) -> Column:
+    out = F.when(fmt == DATE_FORMATS[0], 0)
+    for code, name in enumerate(DATE_FORMATS[1:], start=1):
+        out = out.when(fmt == name, code)
+    return out
+
+
+def format_name(code: Column) -> Column:
+    return F.get(F.array(*[F.lit(f) for f in DATE_FORMATS]), code)
+
+
 def _measures(policy: Policy, as_of: date) -> dict[str, tuple[str, Column, Column | None]]:
     """name -> (kind, flag, value). Kinds: n counts records, sum adds micros, max/min take extremes."""
     c = F.col
@@ -66,9 +81,10 @@ def _measures(policy: Policy, as_of: date) -> dict[str, tuple[str, Column, Colum
         "n_issue": ("n", F.size("issues") > 0, None),
         "n_insane": ("n", insane, None),
         "n_foreign": ("n", c("record_loan_id") != c("loan_id").cast("string"), None),
-        "foreign_example": ("min", c("record_loan_id") != c("loan_id").cast("string"), c("record_loan_id")),
-        "fmt_lo": ("min", true, F.least("due_fmt", "actual_fmt")),
-        "fmt_hi": ("max", true, F.greatest("due_fmt", "actual_fmt")),
+        "foreign_example": ("min", c("record_loan_id") != c("loan_id").cast("string"),
+                            c("record_loan_id").try_cast("bigint")),
+        "fmt_lo": ("min", true, F.least(format_code(c("due_fmt")), format_code(c("actual_fmt")))),
+        "fmt_hi": ("max", true, F.greatest(format_code(c("due_fmt")), format_code(c("actual_fmt")))),
         "n_closure": ("n", c("is_closure_row"), None),
         "n_duplicate": ("n", c("is_duplicate"), None),
         # principal and interest sums
@@ -160,9 +176,14 @@ def _measures(policy: Policy, as_of: date) -> dict[str, tuple[str, Column, Colum
     return out
 
 
+# Measures that are needed per due date: distinct due dates, slots, schedule steps and delay episodes.
+_DAY_MEASURES = (
+    "n_late_default", "n_overdue_default", "n_open", "n_regular", "n_paid_delays", "w_delay", "n_principal_due",
+    "slot_p", "slot_p_unpaid", "slot_i", "slot_i_unpaid", "slot_f", "slot_f_unpaid",
+)
+_DAY_ONLY = ("n_principal_due", "slot_p", "slot_p_unpaid", "slot_i", "slot_i_unpaid", "slot_f", "slot_f_unpaid")
 _EPISODES = {
-    "due_late_default": "n_late_default", "due_late_band": "n_late_band",
-    "due_overdue_default": "n_overdue_default", "due_open": "n_open",
+    "due_late_default": "n_late_default", "due_overdue_default": "n_overdue_default", "due_open": "n_open",
     "periods": "n_regular", "periods_interest": "slot_i", "periods_principal": "slot_p",
 }
 
@@ -175,59 +196,56 @@ def _first_pass(kind: str, flag: Column, value: Column | None) -> Column:
     return (F.max if kind == "max" else F.min)(F.when(flag, value))
 
 
-def _second_pass(kind: str, name: str) -> Column:
-    return {"n": F.sum, "sum": F.try_sum, "max": F.max, "min": F.min}[kind](name).alias(name)
-
-
-def due_day_measures(payments: DataFrame, policy: Policy, as_of: date,
-                     only: list[str] | None = None) -> DataFrame:
-    """All measures per (loan, due date)."""
+def loan_measures(payments: DataFrame, policy: Policy, as_of: date) -> DataFrame:
+    """One row per loan with payments: plain counts, sums and extremes in one pass (map-side combined)."""
     m = _measures(policy, as_of)
-    names = list(m) if only is None else only
-    return payments.groupBy(*KEY, "due_date").agg(*[_first_pass(*m[n]).alias(n) for n in names])
+    return payments.groupBy(*KEY).agg(*[_first_pass(*m[n]).alias(n) for n in m if n not in _DAY_ONLY])
 
 
-def loan_measures(payments: DataFrame, policy: Policy, as_of: date) -> DataFrame:
-    """One row per loan with payments: the complete feature set of the main pass."""
-    kinds = {n: k for n, (k, _, _) in _measures(policy, as_of).items()}
-    days = due_day_measures(payments, policy, as_of)
-    dated = F.col("due_date").isNotNull()
-    before = Window.partitionBy(*KEY).orderBy("due_date").rowsBetween(Window.unboundedPreceding, -1)
-    principal_day = (F.col("n_principal_due") > 0) & dated
-    days = days.withColumn("_previous", F.last(F.when(principal_day, F.col("due_date")), True).over(before))
-    step = F.when(principal_day, F.datediff("due_date", "_previous"))
-    after = Window.partitionBy(*KEY).orderBy("due_date").rowsBetween(1, Window.unboundedFollowing)
-    paid_day = (F.col("n_paid_delays") > 0) & dated
-    late = policy.lateness
+def calendar_measures(payments: DataFrame, policy: Policy, as_of: date) -> DataFrame:
+    """One row per loan from its due-date calendar. A narrow aggregate per (loan, due date) comes first: it
+    bounds a giant loan by its calendar and turns "distinct due dates" into plain counts."""
+    m = _measures(policy, as_of)
+    days = payments.filter("due_date IS NOT NULL").groupBy(*KEY, "due_date").agg(
+        *[_first_pass(*m[n]).alias(n) for n in _DAY_MEASURES])
+    c, loan = F.col, Window.partitionBy(*KEY).orderBy("due_date")
+    late, tol = policy.lateness, policy.tolerance
+    principal_day, paid_day = c("n_principal_due") > 0, c("n_paid_delays") > 0
     days = days.withColumns({
-        "_delay": F.when(paid_day, worst_days(F.col("w_delay"))),
-        "_later": F.coalesce(F.sum(paid_day.cast("int")).over(after), F.lit(0)),
+        "_previous": F.last(F.when(principal_day, c("due_date")), True).over(
+            loan.rowsBetween(Window.unboundedPreceding, -1)),
+        "_later": F.coalesce(F.sum(paid_day.cast("int")).over(
+            loan.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)),
     })
-    recent = paid_day & (F.col("_later") < late.drift_recent_episodes)
-    tol = policy.tolerance
-    conflict = [F.when(F.col(f"slot_{s}") > 1, F.lit(1)).otherwise(0) for s in ("p", "i", "f")]
+    step = F.when(principal_day, F.datediff("due_date", "_previous"))
+    delay = worst_days(c("w_delay"))
+    recent = paid_day & (c("_later") < late.drift_recent_episodes)
+    slots = ("slot_p", "slot_i", "slot_f")
+    conflicts = sum((F.when(c(s) > 1, 1).otherwise(0) for s in slots), F.lit(0))
     conflict_open = F.lit(False)
-    for s in ("p", "i", "f"):
-        conflict_open = conflict_open | ((F.col(f"slot_{s}") > 1) & (F.col(f"slot_{s}_unpaid") > 0))
-    count = lambda flag: F.count_if(flag)
+    for s in slots:
+        conflict_open = conflict_open | ((c(s) > 1) & (c(f"{s}_unpaid") > 0))
+    count = F.count_if
     return days.groupBy(*KEY).agg(
-        *[_second_pass(k, n) for n, k in kinds.items() if n not in ("slot_p", "slot_i", "slot_f")],
-        *[count((F.col(src) > 0) & dated).alias(out) for out, src in _EPISODES.items()],
-        count((F.col("slot_i") > 0) & (F.col("slot_p") == 0)).alias("periods_interest_only"),
+        *[count(c(src) > 0).alias(out) for out, src in _EPISODES.items()],
+        count((c("slot_i") > 0) & (c("slot_p") == 0)).alias("periods_interest_only"),
         count(principal_day).alias("principal_dates"),
         count(step > tol.schedule_gap_days).alias("schedule_gaps"),
         count(step < tol.schedule_min_gap_days).alias("schedule_doubles"),
         count(paid_day).alias("episodes"),
-        F.max(F.when(paid_day & ~recent, F.col("_delay"))).alias("baseline_worst"),
-        count(recent & (F.col("_delay") > late.grace_days)).alias("recent_exceeding"),
-        F.sum(conflict[0] + conflict[1] + conflict[2]).alias("slot_conflicts"),
-        F.max(conflict_open).alias("slot_conflict_open"),
-        F.sort_array(F.collect_set(F.when(
-            (F.col("n_claim") > 0) & dated, F.datediff(F.lit(as_of), F.col("due_date"))
-        ))).alias("claim_days"),
+        F.max(F.when(paid_day & ~recent, delay)).alias("baseline_worst"),
+        count(recent & (delay > late.grace_days)).alias("recent_exceeding"),
+        F.sum(conflicts).alias("slot_conflicts"), F.max(conflict_open).alias("slot_conflict_open"),
     )
 
 
+def claim_days(payments: DataFrame) -> DataFrame:
+    """Days past due of each open termination claim, once per day: few loans, and bounded by the calendar."""
+    claims = payments.filter((F.col("type") == C.TERMINATION) & (F.col("exposure_eur") > 0)
+                             & F.col("due_date").isNotNull())
+    return claims.groupBy(*KEY).agg(F.sort_array(F.collect_set("days_past_due")).alias("claim_days"))
+
+
 def daily_reductions(payments: DataFrame) -> DataFrame:
     """Principal reductions per (loan, day): receipts on the day paid, open remainders on the day due."""
     c = F.col

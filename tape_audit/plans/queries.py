@@ -56,17 +56,14 @@ def staged_ledger(spark: SparkSession, sf: str) -> Ledger:
     return replace(led, payments=stage(led.payments, "payments"))
 
 
-def status_text(rule_id: str) -> Column:
-    o = F.col(rule_id)
-    return F.when(o["status"] == "fail", F.concat(F.lit("fail:"), o["severity"])).otherwise(o["status"]).alias(
-        rule_id)
-
-
-def rule_statuses(led: Ledger, ids: list[str], parts: tuple[str, ...], extra: list[Column] | None = None) -> DataFrame:
-    assessed = rules.assess(led, POLICY, parts)
-    keep = ["source_row_index", *[c for c in assessed.columns if c not in KEY]]
-    out = rules.evaluate(assessed, POLICY, led.missing_columns, led.as_of, keep, only=ids)
-    return out.select("source_row_index", *[status_text(i) for i in ids], *(extra or []))
+def rule_statuses(led: Ledger, ids: list[str], parts: tuple[str, ...],
+                  extra: dict[str, str | Column] | None = None) -> DataFrame:
+    extra = extra or {}
+    assessed = rules.assess(led, POLICY, parts).withColumns(
+        {f"_x_{k}": (F.col(v) if isinstance(v, str) else v) for k, v in extra.items()})
+    out = rules.status_columns(assessed, POLICY, led.missing_columns, led.as_of, ids,
+                               ["source_row_index", *[f"_x_{k}" for k in extra]])
+    return out.withColumnsRenamed({f"_x_{k}": k for k in extra})
 
 
 # ---- record level ---------------------------------------------------------------------------------
@@ -172,9 +169,18 @@ def payments_table(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- loan level: rules ----------------------------------------------------------------------------
 
-def _family(name: str, ids: list[str], parts: tuple[str, ...]) -> None:
+_FAMILY_PARTS = {
+    "readability": ("main",), "identity": ("main", "claims"), "arithmetic": ("main", "calendar"),
+    "temporal": ("main", "calendar"), "lifecycle": ("main", "calendar"), "plausibility": (),
+    "lateness": ("main", "calendar"), "behaviour": ("main", "calendar", "profile"),
+}
+
+
+def _family(name: str, ids: list[str]) -> None:
+    parts = _FAMILY_PARTS[name]
+
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        led = ledger(spark, sf) if len(parts) == 1 else staged_ledger(spark, sf)
+        led = ledger(spark, sf) if len(parts) < 2 else staged_ledger(spark, sf)
         return rule_statuses(led, ids, parts)
     query.__name__ = f"rules_{name}"
     register(O.rule_family(name))(query)
@@ -187,10 +193,9 @@ for _name, _ids in (
     ("temporal", ["D1", "D2", "D3", "D4", "D5", "D6", "D7", "D8"]),
     ("lifecycle", ["E1", "E2", "E3", "E4", "E5"]),
     ("plausibility", ["H1", "H3", "H4", "H5", "H9", "H10"]),
-    ("lateness", ["F1", "F2", "F3"]),
+    ("lateness", ["F1", "F2", "F3"]), ("behaviour", ["G6", "G7", "G8"]),
 ):
-    _family(_name, _ids, ("main",))
-_family("behaviour", ["G6", "G7", "G8"], ("main", "profile"))
+    _family(_name, _ids)
 
 
 @register(f"""{O.FULL}, {O.ACCRUAL} SELECT feat.id AS source_row_index, {O.C1} AS "C1",
@@ -199,28 +204,17 @@ _family("behaviour", ["G6", "G7", "G8"], ("main", "profile"))
   FROM feat LEFT JOIN acc USING (id) LEFT JOIN iso3 USING (id)""")
 def instalment_interest(spark: SparkSession, sf: str) -> DataFrame:
     """Interest instalments against balance x rate / 12 (range aggregate strictly before the due date)."""
-    return _with_counts(
-        spark, sf, ["C1"], ("main", "accrual"),
+    return rule_statuses(
+        staged_ledger(spark, sf), ["C1"], ("main", "accrual"),
         {"checked": "interest_checked", "missed": "interest_missed", "isolated": "interest_isolated"})
 
 
-def _with_counts(spark: SparkSession, sf: str, ids: list[str], parts: tuple[str, ...],
-                 extra: dict[str, str | Column]) -> DataFrame:
-    led = staged_ledger(spark, sf)
-    assessed = rules.assess(led, POLICY, parts).withColumns(
-        {f"_x_{k}": (F.col(v) if isinstance(v, str) else v) for k, v in extra.items()})
-    out = rules.evaluate(assessed, POLICY, led.missing_columns, led.as_of,
-                         ["source_row_index", *[f"_x_{k}" for k in extra]], only=ids)
-    return out.select("source_row_index", *[status_text(i) for i in ids],
-                      *[F.col(f"_x_{k}").alias(k) for k in extra])
-
-
 @register(f"""{O.FULL}, {O.RATES}, {O.C2_STATE} SELECT id AS source_row_index, {O.C2} AS "C2",
   CAST(round(realised * 10) AS BIGINT) AS realised_tenths, CAST(round(sched_pct * 10) AS BIGINT) AS scheduled_tenths
   FROM c2b""")
 def realised_rate(spark: SparkSession, sf: str) -> DataFrame:
     """Guarded IRR comparison with the stated rate, as paid and on schedule (tenths of a percent)."""
-    return _with_counts(spark, sf, ["C2"], ("main", "rates"), {
+    return rule_statuses(staged_ledger(spark, sf), ["C2"], ("main", "rates"), {
         "realised_tenths": big(F.round(F.col("xirr") * 1000)),
         "scheduled_tenths": big(F.round(F.col("xirr_on_schedule") * 1000))})
 
@@ -228,7 +222,7 @@ def realised_rate(spark: SparkSession, sf: str) -> DataFrame:
 @register(f"""{O.FULL}, {O.TAIL} SELECT feat.id AS source_row_index, {O.C8} AS "C8",
   CAST(coalesce(streak, 0) AS BIGINT) AS streak, CAST(since AS VARCHAR) AS since FROM feat LEFT JOIN tail USING (id)""")
 def payments_stopped(spark: SparkSession, sf: str) -> DataFrame:
-    return _with_counts(spark, sf, ["C8"], ("main", "tail"),
+    return rule_statuses(staged_ledger(spark, sf), ["C8"], ("main", "tail"),
                         {"streak": "unpaid_streak", "since": iso("unpaid_since")})
 
 
@@ -248,7 +242,7 @@ def reconcile_sums(spark: SparkSession, sf: str) -> DataFrame:
   CAST(m_over90 AS BIGINT) AS overdue_micros, CAST(worst_dpd AS BIGINT) AS worst_dpd,
   CAST(n_late_band + n_over_band AS BIGINT) AS n_band FROM feat""")
 def lateness_bands(spark: SparkSession, sf: str) -> DataFrame:
-    a = rules.assess(ledger(spark, sf), POLICY, ("main",))
+    a = rules.assess(staged_ledger(spark, sf), POLICY, ("main", "calendar"))
     c = F.col
     return a.select(
         "source_row_index", c("n_late_default").alias("n_late"), c("due_late_default").alias("due_late"),
@@ -264,7 +258,7 @@ def lateness_bands(spark: SparkSession, sf: str) -> DataFrame:
   CAST(base_worst AS BIGINT) AS baseline_worst FROM feat""")
 def schedule_shape(spark: SparkSession, sf: str) -> DataFrame:
     """Slot conflicts, schedule gaps and doubles, and delay drift per loan."""
-    a = rules.assess(ledger(spark, sf), POLICY, ("main",))
+    a = rules.assess(ledger(spark, sf), POLICY, ("calendar",))
     return a.select("source_row_index", *[big(n).alias(n) for n in (
         "slot_conflicts", "principal_dates", "schedule_gaps", "schedule_doubles", "episodes", "recent_exceeding",
         "baseline_worst")])
@@ -322,7 +316,7 @@ def profile_table(spark: SparkSession, sf: str) -> DataFrame:
   CAST(m_closure AS BIGINT) AS via_closure, CAST(m_settle_paid AS BIGINT) AS settlement_cash,
   CAST(m_open AS BIGINT) AS pending FROM feat""")
 def coverage_table(spark: SparkSession, sf: str) -> DataFrame:
-    a = rules.assess(staged_ledger(spark, sf), POLICY, ("main", "profile"))
+    a = rules.assess(staged_ledger(spark, sf), POLICY, ("main", "calendar", "profile"))
     t = tables.coverage_table(a, POLICY, D.AS_OF)
     counts = ("records_parsed", "regular_rows", "paid_rows", "open_rows", "closure_rows", "duplicate_rows",
               "early_repayment_rows", "termination_rows", "rows_with_parse_issues", "periods_in_diary",

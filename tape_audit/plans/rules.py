@@ -12,11 +12,11 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tape_audit.config import Policy
+from tape_audit.config import SEVERITIES, Policy
 from tape_audit.functions.money import eur_text, euros, money
 from tape_audit.operators.sequences import behaviour_profile, trailing_unpaid
 from tape_audit.plans import features as X
-from tape_audit.plans.catalog import BY_ID, RULES
+from tape_audit.plans.catalog import BY_ID, EVIDENCE_CATEGORIES, ORDINAL, RULES
 from tape_audit.plans.ledger import KEY, Ledger
 
 # Summary fields whose parse issues count as numeric or date faults.
@@ -39,9 +39,20 @@ class Check:
     evidence: dict[str, Column] = field(default_factory=dict)
 
 
-PARTS = ("main", "accrual", "rates", "profile", "tail")
+# Messages that must not repeat source content once they leave the audit.
+FIXED_MESSAGES = {
+    "A6": "categorical fields hold missing, unknown or untranslated values",
+    "A7": "payment history is empty or unreadable; see the source",
+    "A9": "payment records hold malformed fields; see the source",
+    "A10": "payment history holds records of another loan",
+    "H3": "monthly payment exceeds the configured share of income",
+    "H4": "borrower fields are inconsistent",
+    "H10": "employment and income fields need review",
+}
+
+PARTS = ("main", "calendar", "claims", "accrual", "rates", "profile", "tail")
 _COUNTS = (
-    "due_late_default", "due_late_band", "due_overdue_default", "due_open", "periods", "periods_interest",
+    "due_late_default", "due_overdue_default", "due_open", "periods", "periods_interest",
     "periods_principal", "periods_interest_only", "principal_dates", "schedule_gaps", "schedule_doubles",
     "episodes", "recent_exceeding", "slot_conflicts", "interest_checked", "interest_missed",
     "interest_isolated", "unpaid_streak",
@@ -54,6 +65,8 @@ def assess(ledger: Ledger, policy: Policy = Policy(), parts: tuple[str, ...] = P
     c, p, giant = F.col, ledger.payments, ledger.giant_loans
     build = {
         "main": lambda: X.loan_measures(p, policy, ledger.as_of),
+        "calendar": lambda: X.calendar_measures(p, policy, ledger.as_of),
+        "claims": lambda: X.claim_days(p),
         "accrual": lambda: X.interest_accrual(ledger, policy),
         "rates": lambda: X.realised_rates(ledger, X.rate_candidates(ledger, policy), policy),
         "profile": lambda: behaviour_profile(p, policy, giant=giant),
@@ -128,8 +141,10 @@ def _readability(policy: Policy, missing: frozenset[str]) -> dict[str, Check]:
         "A4": Check(F.size(dates) > 0, text("unreadable summary dates: ", F.array_join(dates, ", ")),
                     evidence={"fields": F.array_join(dates, ", ")}),
         "A5": Check(c("fmt_lo") != c("fmt_hi"),
-                    text("payment dates are written in several formats, ", c("fmt_lo"), " to ", c("fmt_hi")),
-                    diary, evidence={"formats": text(c("fmt_lo"), ", ", c("fmt_hi"))}),
+                    text("payment dates are written in several formats, such as ", X.format_name(c("fmt_lo")),
+                         " and ", X.format_name(c("fmt_hi"))),
+                    diary, evidence={"formats": text(X.format_name(c("fmt_lo")), ", ",
+                                                     X.format_name(c("fmt_hi")))}),
         "A6": Check((F.size(strange) > 0) | coded,
                     F.when(F.size(strange) > 0, text("values outside the vocabulary: ",
                                                      F.array_join(strange, ", ")))
@@ -594,7 +609,7 @@ def checks(policy: Policy, missing: frozenset[str], as_of: date,
 
 
 def _status(rule_id: str, check: Check) -> Column:
-    """``struct<code, missing, fires>``: why the check abstains, else whether it fires."""
+    """``struct<code, missing, failed>``: why the check abstains, else whether it fails."""
     code, missing = None, None
     for condition, reason, is_missing in check.skips:
         code = F.when(condition, reason) if code is None else code.when(condition, reason)
@@ -607,35 +622,78 @@ def _status(rule_id: str, check: Check) -> Column:
                     F.coalesce(check.fail, F.lit(False)).alias("failed"))
 
 
-def _outcome(rule_id: str, check: Check, policy: Policy) -> Column:
-    """The rule's outcome struct, read off the status computed one projection earlier."""
-    state = F.col(f"_s_{rule_id}")
-    abstains = state["code"].isNotNull()
-    fires = ~abstains & state["failed"]
-    severity = F.lit(BY_ID[rule_id].severity)
+def _abstains(rule_id: str) -> Column:
+    return F.col(f"_s_{rule_id}.code").isNotNull()
+
+
+def _fires(rule_id: str) -> Column:
+    return ~_abstains(rule_id) & F.col(f"_s_{rule_id}.failed")
+
+
+def _severity(rule_id: str, check: Check, policy: Policy) -> Column:
+    default = F.lit(BY_ID[rule_id].severity)
     if rule_id in policy.info_only_rules:
-        severity = F.lit("info")
-    elif check.severity is not None:
-        severity = F.coalesce(check.severity, severity)
+        return F.lit("info")
+    return default if check.severity is None else F.coalesce(check.severity, default)
+
+
+def _fired(rule_id: str, check: Check, policy: Policy) -> Column:
+    """Everything the judgement needs about a failed check, NULL otherwise; metadata is literal."""
+    info = BY_ID[rule_id]
     pairs = [x for k, v in check.evidence.items() for x in (F.lit(k), v.cast("string"))]
-    evidence = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
-    standalone = F.lit(False)
-    if check.standalone is not None:
-        standalone = fires & F.coalesce(check.standalone, F.lit(False))
-    return F.struct(
-        F.lit(rule_id).alias("rule_id"),
-        F.when(abstains, "not_evaluable").when(state["failed"], "fail").otherwise("pass").alias("status"),
-        state["code"].alias("reason_code"), state["missing"].alias("missing_evidence"),
-        F.when(fires, severity).alias("severity"), standalone.alias("standalone"),
-        F.when(fires, check.message).alias("message"), F.when(fires, evidence).alias("evidence"),
-    ).alias(rule_id)
+    severity = _severity(rule_id, check, policy)
+    standalone = F.lit(False) if check.standalone is None else F.coalesce(check.standalone, F.lit(False))
+    fixed = FIXED_MESSAGES.get(rule_id)
+    return F.when(_fires(rule_id), F.struct(
+        F.lit(rule_id).alias("rule_id"), F.lit(info.category).alias("category"), F.lit(info.axis).alias("axis"),
+        F.lit(info.group).alias("group"), severity.alias("severity"),
+        (F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), severity) - 1).cast("int").alias("rank"),
+        F.lit(ORDINAL[rule_id]).alias("ordinal"), check.message.alias("message"),
+        (F.lit(fixed) if fixed else check.message).alias("shown"),
+        F.create_map(*pairs).alias("evidence"), standalone.alias("standalone"),
+        F.array(*[F.lit(x) for x in info.subsumed_by]).cast("array<string>").alias("subsumed_by"),
+    ))
 
 
-def evaluate(assessed: DataFrame, policy: Policy, missing: frozenset[str], as_of: date,
-             keep: list[str], only: list[str] | None = None) -> DataFrame:
-    """One struct column per enabled rule, named by its id, next to the ``keep`` columns."""
+def _enabled(policy: Policy, only: list[str] | None = None) -> list[str]:
+    return [r.rule_id for r in RULES if r.rule_id not in policy.disabled_rules
+            and (only is None or r.rule_id in only)]
+
+
+def status_columns(assessed: DataFrame, policy: Policy, missing: frozenset[str], as_of: date,
+                   only: list[str], keep: list[str]) -> DataFrame:
+    """One text column per rule: ``pass``, ``not_evaluable`` or ``fail:<severity>``."""
     built = checks(policy, missing, as_of, only)
-    ids = [r.rule_id for r in RULES if r.rule_id not in policy.disabled_rules
-           and (only is None or r.rule_id in only)]
+    ids = _enabled(policy, only)
+    staged = assessed.select("*", *[_status(i, built[i]).alias(f"_s_{i}") for i in ids])
+    return staged.select(*keep, *[
+        F.when(_abstains(i), "not_evaluable")
+        .when(F.col(f"_s_{i}.failed"), F.concat(F.lit("fail:"), _severity(i, built[i], policy)))
+        .otherwise("pass").alias(i) for i in ids])
+
+
+def evaluate(assessed: DataFrame, policy: Policy, missing: frozenset[str], as_of: date,
+             keep: list[str]) -> DataFrame:
+    """All enabled rules of a loan: the ``outcomes`` array in evaluation order, the ``fired`` array of failed
+    checks with message and evidence, the three counts, and whether evidence was missing."""
+    built = checks(policy, missing, as_of)
+    ids = _enabled(policy)
     staged = assessed.select("*", *[_status(i, built[i]).alias(f"_s_{i}") for i in ids])
-    return staged.select(*keep, *[_outcome(i, built[i], policy) for i in ids])
+    count = lambda flag: sum((flag(i).cast("int") for i in ids), F.lit(0))
+    gap = F.lit(False)
+    for i in ids:
+        if BY_ID[i].category in EVIDENCE_CATEGORIES:
+            gap = gap | F.col(f"_s_{i}.missing")
+    return staged.select(
+        *keep,
+        F.array(*[F.struct(
+            F.lit(i).alias("rule_id"),
+            F.when(_abstains(i), "not_evaluable").when(F.col(f"_s_{i}.failed"), "fail").otherwise("pass")
+            .alias("status"),
+            F.col(f"_s_{i}.code").alias("reason_code"), F.col(f"_s_{i}.missing").alias("missing_evidence"),
+        ) for i in ids]).alias("outcomes"),
+        F.array_compact(F.array(*[_fired(i, built[i], policy) for i in ids])).alias("fired"),
+        count(lambda i: ~_abstains(i) & ~F.col(f"_s_{i}.failed")).alias("checks_passed"),
+        count(_fires).alias("checks_failed"), count(_abstains).alias("checks_not_evaluable"),
+        gap.alias("evidence_gap"),
+    )
