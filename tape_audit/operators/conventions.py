@@ -42,10 +42,10 @@ def chunk(seq: Column) -> Column:
 def tag_conventions(payments: DataFrame, *, giant_loans: bool = False) -> DataFrame:
     """Tag closure rows, settlement markers, aborted settlements and identical copies.
 
-    Only the later copies of an identical schedule or ordinary-interest record are tagged.
+    Only the later copies of an identical schedule or ordinary-interest record are tagged. Payments that are
+    hash-partitioned by loan (as a ledger built from text cells is) need no further exchange.
     """
-    rows = payments if giant_loans else payments.repartition(*KEY)
-    rows = rows.withColumn("_day", F.coalesce("actual_date", "due_date"))
+    rows = payments.withColumn("_day", F.coalesce("actual_date", "due_date"))
     same_day = Window.partitionBy(*KEY, "_day", "actual_date")
     early = F.col("type").isin(*EARLY)
     schedule = F.col("type").isin(*SCHEDULE)

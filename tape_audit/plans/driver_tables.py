@@ -150,3 +150,142 @@ def order_ledger(spark: SparkSession, sf_dir: str) -> Ledger:
     loans = order_loans(table(spark, sf_dir, "orders")).join(counts, "source_row_index", "left")
     loans = loans.withColumn("n_records", F.coalesce("n_records", F.lit(0).cast("bigint")))
     return Ledger(loans=loans, payments=payments, giant_loans=True, as_of=AS_OF)
+
+
+# ---- a raw all-text tape out of ``orders`` ---------------------------------------------------------
+
+TAPE_AS_OF = date(2024, 1, 31)
+
+
+def _cents_text(c: Column) -> Column:
+    return F.concat(F.floor(c / 100).cast("bigint").cast("string"), F.lit("."), F.lpad(F.pmod(c, F.lit(100)).cast("bigint").cast("string"), 2, "0"))
+
+
+def order_tape(orders: DataFrame) -> DataFrame:
+    """One wide text row per order: an instalment loan with its whole payment history packed into one cell,
+    in mixed notations, with faults planted by key. Row-local, so it scales with ``orders``."""
+    k = F.col("o_orderkey")
+    base = orders.select(
+        k.alias("k"), F.col("o_custkey").alias("cust"), (3 + k % 10).alias("n"),
+        ((1200 + (k % 50) * 100) * 100).alias("total"), (6 + k % 12).alias("rate"),
+        F.add_months(F.date_add(F.lit(date(2023, 1, 10)), (k % 15).cast("int")), (k % 12).cast("int")).alias("start"),
+        F.when(k % 3 == 0, "repaid").when(k % 37 == 1, "terminated").otherwise("granted").alias("status"),
+    )
+    c = F.col
+    base = base.withColumns({
+        "part": F.floor(c("total") / c("n")),
+        "settled": F.date_add(F.add_months("start", 1), 5),
+        "early": c("k") % 33 == 0,
+    })
+
+    def row(i: Column) -> Column:
+        i = i.cast("int")
+        due = F.add_months(c("start"), i + 1)
+        left = c("total") - c("part") * i
+        principal = F.when(i == c("n") - 1, c("total") - c("part") * (c("n") - 1)).otherwise(c("part"))
+        interest = F.when(c("k") % 19 == 0, F.floor((left * c("rate") * 8 + 3000) / 6000)).otherwise(
+            F.floor((left * c("rate") + 600) / 1200))
+        last = i == c("n") - 1
+        paid = (
+            F.when(c("status") == "repaid", ~((c("k") % 101 == 0) & last))
+            .when(c("status") == "terminated", i < 2)
+            .otherwise((due <= F.lit(TAPE_AS_OF)) & ~((c("k") % 23 == 0) & (i >= c("n") - 2)))
+        )
+        delay = (
+            F.when((c("k") % 17 == 0) & last, 95).when(c("k") % 29 == 0, 20)
+            .when((c("k") % 43 == 0) & last, 45).otherwise((c("k") * 7 + i * 3) % 4)
+        )
+        closure = c("early") & (i >= 1)
+        actual = F.when(paid, F.when(closure, c("settled")).otherwise(F.date_add(due, delay.cast("int"))))
+        state = F.when(paid, F.when(closure | (delay <= 5), "paid on time").otherwise("paid with delay")).otherwise(
+            F.when(due < F.lit(TAPE_AS_OF), "pending late").otherwise("pending"))
+        return F.struct(i.alias("i"), due.alias("due"), actual.alias("actual"), state.alias("state"),
+                        paid.alias("paid"), principal.alias("principal"), interest.alias("interest"))
+
+    base = base.withColumn("rows", F.transform(F.sequence(F.lit(0).cast("bigint"), c("n") - 1), row))
+    as_json = c("k") % 5 == 0
+    q = F.when(as_json, '"').otherwise("'")
+    text = lambda v: F.concat(q, v, q)
+    day = lambda d: F.coalesce(
+        text(F.date_format(d, "dd/MM/yyyy")), F.when(as_json, "null").otherwise("None"))
+
+    def record(owner: Column, due: Column, actual: Column, kind: str, state: Column, amount: Column,
+               paid: Column) -> Column:
+        pair = lambda key, v: F.concat(text(F.lit(key)), F.lit(": "), v)
+        return F.concat(F.lit("{"), F.concat_ws(
+            ", ", pair("Loan ID", text(owner.cast("string"))), pair("Payment date", day(due)),
+            pair("Repayment date", day(actual)), pair("Type", text(F.lit(kind))), pair("State", text(state)),
+            pair("Amount", _cents_text(amount)),
+            pair("Pending amount", F.when(paid, F.lit("0")).otherwise(_cents_text(amount)))), F.lit("}"))
+
+    owner = lambda i: c("k") + F.when((c("k") % 53 == 0) & (i == 0), 1).otherwise(0)
+    records = F.flatten(F.transform("rows", lambda r: F.array(
+        record(owner(r["i"]), r["due"], r["actual"], "principal", r["state"], r["principal"], r["paid"]),
+        record(c("k"), r["due"], r["actual"], "interest", r["state"], r["interest"], r["paid"]))))
+    closing = F.when(c("early"), F.array(record(
+        c("k"), c("settled"), c("settled"), "full early repayment", F.lit("paid on time"), c("total") - c("part"),
+        F.lit(True)))).otherwise(F.array().cast("array<string>"))
+    total = lambda flag, name: F.aggregate(
+        "rows", F.lit(0).cast("bigint"), lambda acc, r: acc + F.when(flag(r), r[name]).otherwise(0).cast("bigint"))
+    base = base.withColumns({
+        "cell": F.concat(F.lit("["), F.array_join(F.concat(records, closing), ", "), F.lit("]")),
+        "open": total(lambda r: ~r["paid"], "principal"),
+        "paid_interest": total(lambda r: r["paid"], "interest"),
+        "open_interest": total(lambda r: ~r["paid"], "interest"),
+        "last_actual": F.array_max(F.transform("rows", lambda r: r["actual"])),
+        "first_open": F.array_min(F.transform("rows", lambda r: F.when(~r["paid"], r["due"]))),
+        "first_interest": F.get("rows", F.lit(0))["interest"],
+    })
+    iso = lambda d: F.concat(d.cast("string"), F.lit("T00:00:00.000"))
+    euros = F.floor(c("total") / 100)
+    thousands, rest = F.floor(euros / 1000).cast("string"), F.lpad((euros % 1000).cast("string"), 3, "0")
+    style = c("k") % 4
+    amount = (
+        F.when(c("k") % 89 == 0, "abc").when(style == 0, F.concat(thousands, F.lit("."), rest, F.lit(",00")))
+        .when(style == 1, F.concat(thousands, F.lit(","), rest, F.lit(".00")))
+        .when(style == 2, euros.cast("string")).otherwise(F.concat(F.lit("EUR "), euros.cast("string")))
+    )
+    outstanding = F.when(c("status") == "repaid", F.lit(0).cast("bigint")).otherwise(c("open"))
+    business = c("cust") % 10 == 0
+    col = lambda v, name: v.alias(name)
+    return base.select(
+        F.lit(TAPE_ID).alias("tape_id"), c("k").alias("source_row_index"),
+        col(F.when(c("k") % 131 == 0, F.concat(F.lit("N/A-"), c("k").cast("string")))
+            .when(c("k") % 7 == 0, F.concat(c("k").cast("string"), F.lit(".0")))
+            .otherwise(c("k").cast("string")), "Loan ID"),
+        col(c("cust").cast("string"), "Borrower ID"), col(amount, "Loan amount"),
+        col(F.when((c("k") % 6 == 0) & (F.dayofmonth("start") > 12), F.date_format("start", "dd/MM/yyyy"))
+            .otherwise(iso(c("start"))), "Disbursal date"),
+        col(c("rate").cast("string"), "Interest rate"), col(c("n").cast("string"), "Loan term"),
+        col(F.concat(F.initcap("status"), F.lit(" ")), "Loan status"),
+        col(F.when(c("k") % 67 == 0, "garbage").when(c("k") % 71 == 0, F.lit(None).cast("string"))
+            .when(c("k") % 73 == 0, "[]")
+            .when(c("k") % 61 == 0, F.substring(c("cell"), F.lit(1), F.length("cell") - 30))
+            .otherwise(c("cell")), "payments"),
+        col(iso(F.add_months("start", (c("n") + F.when(c("k") % 47 == 0, 4).otherwise(0)).cast("int"))),
+            "Expected repayment date"),
+        col(F.lit("Instalment"), "Loan type"),
+        col(F.when(business, "business").otherwise("Individual"), "Borrower type"),
+        col(F.when(c("k") % 401 == 0, "z").otherwise("b"), "Credit score"),
+        col(_cents_text(c("part") + c("first_interest")), "Monthly payment"),
+        col(F.greatest(F.lit(0), F.coalesce(F.datediff(F.lit(TAPE_AS_OF), c("first_open")), F.lit(0))).cast("string"),
+            "Days late"),
+        col(_cents_text(outstanding), "Outstanding principal"),
+        col(_cents_text(c("total") - outstanding - F.when(c("k") % 83 == 0, 500).otherwise(0)), "Repaid principal"),
+        col(_cents_text(c("open_interest")), "Outstanding interest"),
+        col(_cents_text(c("paid_interest")), "Repaid interest"),
+        col(F.when((c("status") == "repaid") & (c("k") % 59 != 0), iso(c("last_actual"))), "Repayment date"),
+        col(F.lit("0"), "Arrears"), col(F.lit("0.0"), "Delay interest"),
+        col(F.when(c("k") % 97 == 0, "loan_purpose.2").otherwise("refinancing"), "Purpose"),
+        col(F.when(~business | (c("cust") % 20 == 0), F.concat((1960 + c("cust") % 40).cast("string"), F.lit(".0"))),
+            "Birth year"),
+        col(F.lit(None).cast("string"), "Family income"), col(F.lit("2500"), "Borrower income"),
+        col(F.lit("0"), "Family liabilities"), col(F.lit("1"), "Children"),
+        col(F.lit("employed"), "Employment status"),
+        col(F.lit(None).cast("string"), "Company age (years)"),
+        col(F.lit("Vilnius"), "City"),
+    )
+
+
+def raw_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_tape(table(spark, sf_dir, "orders"))

@@ -206,10 +206,15 @@ def build_ledger(raw: DataFrame, policy: Policy = Policy(), as_of: date | None =
         raise TapeRejectedError(
             f"tape rejected: missing {list(schema.required_missing)}, duplicated {list(schema.duplicated)}"
         )
-    typed = to_loans(raw, policy)
-    loans, quarantine = split_quarantine(stager(typed) if stager else typed)
+    if stager is None:
+        # the one exchange of the plan: compact text rows, before they are exploded
+        typed = by_loan = to_loans(raw.repartition(*KEY), policy)
+    else:
+        typed = stager(to_loans(raw, policy))
+        by_loan = typed.repartition(*KEY)
+    loans, quarantine = split_quarantine(typed)
     return Ledger(
-        loans=loans.drop("records"), payments=to_payments(loans), quarantine=quarantine,
+        loans=loans.drop("records"), payments=to_payments(split_quarantine(by_loan)[0]), quarantine=quarantine,
         missing_columns=frozenset(schema.optional_missing), as_of=as_of or policy.as_of,
     )
 

@@ -275,7 +275,7 @@ _NEG_SUMMARY = "least(amount, outstanding, repaid_principal, monthly_payment, ar
 
 RULES: dict[str, dict[str, str]] = {
     "readability": {
-        "A2": _case(None, "borrower_id IS NULL", "high"), "A3": "'pass'", "A4": "'pass'",
+        "A2": _case(None, "borrower_id IS NULL", "high"), "A3": _case(None, "n_fields_bad > 0", "high"), "A4": "'pass'",
         "A5": _case(_EMPTY, "fmt_lo <> fmt_hi", "medium"),
         "A6": _case(None, "score NOT IN ('A', 'B', 'C', 'D') OR purpose LIKE 'loan_purpose.%'",
                     "CASE WHEN score = 'B' THEN 'low' ELSE 'medium' END"),
@@ -283,10 +283,10 @@ RULES: dict[str, dict[str, str]] = {
         "A9": _case(_EMPTY, "n_issue > 0", "medium"), "A10": _case(_EMPTY, "n_foreign > 0", "high"),
     },
     "identity": {
-        "B1": _case(_WHOLE, f"abs({_B1}) > 0.5",
+        "B1": _case(f"{_WHOLE} OR amount IS NULL", f"abs({_B1}) > 0.5",
                     f"CASE WHEN abs({_B1}) > CAST(0.1 AS DOUBLE) * amount THEN 'high' WHEN abs({_SPLIT} - "
                     f"(m_sched + m_settle) / 1000000.0::DOUBLE) <= 0.5 THEN 'low' ELSE 'medium' END"),
-        "B2": _case(None, "abs(outstanding + repaid_principal - amount) > 0.5", "critical"),
+        "B2": _case("amount IS NULL", "abs(outstanding + repaid_principal - amount) > 0.5", "critical"),
         "B3": _case(_WHOLE, "abs(m_paid / 1000000.0::DOUBLE - repaid_principal) > 0.5", "high"),
         "B4": _case(_WHOLE, "abs(m_int_paid / 1000000.0::DOUBLE - sum_rep_int) > 1", "high"),
         "B5": _case(_WHOLE, "abs(m_int_open / 1000000.0::DOUBLE - sum_out_int) > 1", "high"),
@@ -321,10 +321,10 @@ RULES: dict[str, dict[str, str]] = {
         "E5": _case(f"{_EMPTY} OR closing IS NULL", "n_open > 0", "high"),
     },
     "plausibility": {
-        "H1": _case("borrower_type = 'business'", "year(disbursal) - birth_year NOT BETWEEN 18 AND 100", "medium"),
+        "H1": _case("borrower_type = 'business' OR birth_year IS NULL", "year(disbursal) - birth_year NOT BETWEEN 18 AND 100", "medium"),
         "H3": _case("borrower_type = 'business' OR coalesce(nullif(family_income, 0), borrower_income) IS NULL",
                     "monthly_payment / coalesce(nullif(family_income, 0), borrower_income) > 1", "low"),
-        "H4": _case(None, "borrower_type = 'business'", "medium"),
+        "H4": _case(None, "(borrower_type = 'business') = (birth_year IS NOT NULL)", "medium"),
         "H5": _case(None, "rate NOT BETWEEN 0 AND 100 OR term NOT BETWEEN 1 AND 360 OR amount <= 0", "high"),
         "H9": _case(None, "children < 0", "medium"),
         "H10": _case("borrower_income IS NULL", "employment = 'unemployed' AND borrower_income > 0", "low"),
@@ -387,7 +387,7 @@ acc AS (
   FROM imiss GROUP BY id)"""
 
 C1 = _case(
-    f"{_WHOLE} OR product = 'deferred annuity' OR n_prin_undated > 0 OR coalesce(checked, 0) < 2",
+    f"{_WHOLE} OR amount IS NULL OR product = 'deferred annuity' OR n_prin_undated > 0 OR coalesce(checked, 0) < 2",
     "(missed >= 2 AND missed / checked > 0.5) OR coalesce(isolated, 0) > 0", "medium")
 
 TAIL = """tail AS (
@@ -443,7 +443,7 @@ def bisection(flows: str, steps: int = 27, prefix: str = "x") -> str:
 
 
 RATE_SKIP = (
-    f"{_WHOLE} OR n_cash_undated > 0 OR first_cash < disbursal OR last_cash > {AS_OF} OR n_cash < 3 OR "
+    f"{_WHOLE} OR amount IS NULL OR n_cash_undated > 0 OR first_cash < disbursal OR last_cash > {AS_OF} OR n_cash < 3 OR "
     "(status = 'granted' AND (product = 'deferred annuity' OR m_int_all <= 0 OR m_int_all_paid / m_int_all < 0.1))")
 RATE_FLOWS = f"""cand AS (SELECT * FROM feat WHERE NOT coalesce({RATE_SKIP}, FALSE)),
 ends AS (SELECT id, disbursal AS d, -amount AS cf FROM cand
@@ -518,7 +518,7 @@ judged0 AS (
     coalesce(top_integrity >= 2, FALSE) AS defect,
     CASE WHEN dflt THEN 'default' WHEN watch THEN 'watch' ELSE 'none' END AS credit_event,
     CASE WHEN bad_diary THEN 'none'
-      WHEN truncated OR n_records = 0 OR n_insane > 0 OR borrower_id IS NULL OR amount <= 0 OR n_fields_bad > 0
+      WHEN truncated OR n_records = 0 OR n_insane > 0 OR borrower_id IS NULL OR coalesce(amount <= 0, TRUE) OR n_fields_bad > 0
         OR f.status NOT IN ('granted', 'repaid', 'terminated')
         OR (n_prin_undated > 0 AND product <> 'deferred annuity' AND NOT {_WHOLE})
         OR (n_cash_undated > 0 AND NOT {_EMPTY})
@@ -537,3 +537,78 @@ judged AS (
       ELSE 'clean' END AS tier
   FROM judged0)"""
 JUDGED = f"{FULL}, {ACCRUAL}, {TAIL}, {RATES}, {C2_STATE}, {META}, {OUTCOMES}"
+
+
+# ---- the raw tape out of orders, typed directly -----------------------------------------------------
+
+TAPE_AS_OF = "DATE '2024-01-31'"
+TAPE_SOURCE = f"""tape AS (
+  SELECT *, total // n AS part, k % 33 = 0 AS early,
+    CAST(start + to_months(1) AS DATE) + 5 AS settled
+  FROM (
+    SELECT o_orderkey AS k, o_custkey AS cust, 3 + o_orderkey % 10 AS n, (1200 + (o_orderkey % 50) * 100) * 100 AS total,
+      6 + o_orderkey % 12 AS rate_pct,
+      CAST(DATE '2023-01-10' + CAST(o_orderkey % 15 AS INTEGER) + to_months(CAST(o_orderkey % 12 AS INTEGER)) AS DATE) AS start,
+      CASE WHEN o_orderkey % 3 = 0 THEN 'repaid' WHEN o_orderkey % 37 = 1 THEN 'terminated' ELSE 'granted' END AS status
+    FROM orders)),
+steps AS (
+  SELECT *, CASE WHEN i = n - 1 THEN total - part * (n - 1) ELSE part END AS principal,
+    CASE WHEN k % 19 = 0 THEN ((total - part * i) * rate_pct * 8 + 3000) // 6000
+         ELSE ((total - part * i) * rate_pct + 600) // 1200 END AS interest,
+    CASE WHEN status = 'repaid' THEN NOT (k % 101 = 0 AND i = n - 1) WHEN status = 'terminated' THEN i < 2
+         ELSE due <= {TAPE_AS_OF} AND NOT (k % 23 = 0 AND i >= n - 2) END AS paid,
+    CASE WHEN k % 17 = 0 AND i = n - 1 THEN 95 WHEN k % 29 = 0 THEN 20 WHEN k % 43 = 0 AND i = n - 1 THEN 45
+         ELSE (k * 7 + i * 3) % 4 END AS lag_days
+  FROM (SELECT *, CAST(start + to_months(CAST(i + 1 AS INTEGER)) AS DATE) AS due
+        FROM (SELECT *, unnest(range(n)) AS i FROM tape))),
+moves AS (
+  SELECT *, CASE WHEN paid THEN CASE WHEN early AND i >= 1 THEN CAST(settled AS DATE) ELSE CAST(due + CAST(lag_days AS INTEGER) AS DATE) END END AS actual,
+    CASE WHEN paid THEN CASE WHEN (early AND i >= 1) OR lag_days <= 5 THEN 'paid on time' ELSE 'paid with delay' END
+         WHEN due < {TAPE_AS_OF} THEN 'pending late' ELSE 'pending' END AS state FROM steps),
+recs AS (
+  SELECT k AS id, 2 * i AS seq, k + CASE WHEN k % 53 = 0 AND i = 0 THEN 1 ELSE 0 END AS record_id, due, actual,
+    'principal' AS type, state, paid AS is_paid, principal / 100.0::DOUBLE AS amount FROM moves
+  UNION ALL SELECT k, 2 * i + 1, k, due, actual, 'interest', state, paid, interest / 100.0::DOUBLE FROM moves
+  UNION ALL SELECT k, 2 * n, k, settled, settled, 'full early repayment', 'paid on time', TRUE, (total - part) / 100.0::DOUBLE
+    FROM tape WHERE early),
+kept AS (
+  SELECT * FROM (SELECT *, max(seq) OVER (PARTITION BY id) AS last_seq FROM recs)
+  WHERE id % 131 <> 0 AND id % 67 <> 0 AND id % 71 <> 0 AND id % 73 <> 0 AND NOT (id % 61 = 0 AND seq = last_seq))"""
+TAPE_LOANS = f"""lo AS (
+  SELECT t.k AS id, CASE WHEN k % 89 = 0 THEN NULL ELSE total / 100.0::DOUBLE END AS amount, CAST(cust AS VARCHAR) AS borrower_id,
+    start AS disbursal, CAST(rate_pct AS DOUBLE) AS rate, n AS term, status, 'instalment' AS product,
+    greatest(0, coalesce(datediff('day', first_open, {TAPE_AS_OF}), 0)) AS days_late,
+    CASE WHEN cust % 10 <> 0 OR cust % 20 = 0 THEN 1960 + cust % 40 END AS birth_year,
+    CASE WHEN cust % 10 = 0 THEN 'business' ELSE 'individual' END AS borrower_type,
+    CASE WHEN k % 401 = 0 THEN 'Z' ELSE 'B' END AS score,
+    CASE WHEN k % 97 = 0 THEN 'loan_purpose.2' ELSE 'refinancing' END AS purpose, 'employed' AS employment, 0.0 AS arrears,
+    (part + first_interest) / 100.0::DOUBLE AS monthly_payment, NULL::DOUBLE AS family_income, 2500.0 AS borrower_income,
+    1 AS children, outstanding_c / 100.0::DOUBLE AS outstanding,
+    (total - outstanding_c - CASE WHEN k % 83 = 0 THEN 500 ELSE 0 END) / 100.0::DOUBLE AS repaid_principal,
+    CAST(start + to_months(CAST(n + CASE WHEN k % 47 = 0 THEN 4 ELSE 0 END AS INTEGER)) AS DATE) AS expected,
+    CASE WHEN status = 'repaid' AND k % 59 <> 0 THEN last_actual END AS repayment,
+    coalesce(c.n_records, 0) AS n_records, k % 67 = 0 OR k % 71 = 0 AS bad_diary,
+    k % 61 = 0 AND k % 67 <> 0 AND k % 71 <> 0 AND k % 73 <> 0 AS truncated,
+    CASE WHEN k % 89 = 0 THEN 1 ELSE 0 END AS n_fields_bad,
+    paid_int / 100.0::DOUBLE AS sum_rep_int, open_int / 100.0::DOUBLE AS sum_out_int, 0.0::DOUBLE AS sum_delay_int
+  FROM (SELECT t.*, CASE WHEN t.status = 'repaid' THEN 0 ELSE open_c END AS outstanding_c, paid_int, open_int, last_actual,
+          first_open, first_interest
+        FROM tape t JOIN (SELECT k, coalesce(sum(principal) FILTER (WHERE NOT paid), 0) AS open_c,
+            coalesce(sum(interest) FILTER (WHERE paid), 0) AS paid_int, coalesce(sum(interest) FILTER (WHERE NOT paid), 0) AS open_int,
+            max(actual) AS last_actual, min(due) FILTER (WHERE NOT paid) AS first_open, min(interest) FILTER (WHERE i = 0) AS first_interest
+          FROM moves GROUP BY k) m USING (k)) t
+  LEFT JOIN (SELECT id, count(*) AS n_records FROM kept GROUP BY id) c ON c.id = t.k WHERE k % 131 <> 0)"""
+TAPE_RECORDS = """stated AS (
+  SELECT id, seq, 1 AS copies, record_id, due, actual, type, state, is_paid, amount,
+    CASE WHEN is_paid THEN 0.0::DOUBLE ELSE amount END AS pending, FALSE AS has_issue, '%d/%m/%Y' AS due_fmt,
+    CASE WHEN actual IS NOT NULL THEN '%d/%m/%Y' END AS actual_fmt, type = 'principal' AS t_sched, type = 'interest' AS t_int,
+    type = 'full early repayment' AS t_early FROM kept)"""
+
+
+def on_tape(tail: str) -> str:
+    """The same rule twins over the raw tape: another source, another as-of date."""
+    chain = f"WITH {TAPE_SOURCE}, {TAPE_LOANS}, {TAPE_RECORDS}, {PAYMENTS.strip()}{tail}"
+    return chain.replace(AS_OF, TAPE_AS_OF)
+
+
+TAPE_JUDGED_TAIL = f", {FEATURES}, {ACCRUAL}, {TAIL}, {RATES}, {C2_STATE}, {META}, {OUTCOMES} "

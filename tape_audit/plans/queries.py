@@ -22,7 +22,8 @@ from tape_audit.plans import judgement, rollups, rules, tables
 from tape_audit.plans import oracles as O
 from tape_audit.plans import tape_checks as TC
 from tape_audit.plans.audit import assess_ledger, verdicts
-from tape_audit.plans.ledger import KEY, Ledger
+from tape_audit.plans.ledger import KEY, Ledger, build_ledger, infer_as_of
+from tape_audit.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -650,3 +651,80 @@ def xirr_groups(spark: SparkSession, sf: str) -> DataFrame:
     """IRR per customer over signed order totals; NULL where no root is bracketed."""
     out = irr.xirr(_customer_flows(spark, sf), ["id"], "d", {"rate": "cf"})
     return out.select("id", big(F.round(F.col("rate") * 100000)).alias("rate_micro"))
+
+
+# ---- raw text tape --------------------------------------------------------------------------------
+
+TAPE_POLICY = Policy(as_of=D.TAPE_AS_OF)
+
+
+def tape_ledger(spark: SparkSession, sf: str) -> Ledger:
+    return build_ledger(D.raw_tape(spark, sf), TAPE_POLICY)
+
+
+@register(O.on_tape(""" SELECT id AS source_row_index, seq AS payment_seq, CAST(record_id AS VARCHAR) AS record_loan_id,
+  CAST(due AS VARCHAR) AS due_date, CAST(actual AS VARCHAR) AS actual_date, type, state,
+  CAST(round(amount * 100) AS BIGINT) AS cents, CAST(round(pending * 100) AS BIGINT) AS pending_cents FROM stated"""))
+def nested_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested history texts (two notations, some cut or broken) decoded, salvaged, exploded and typed."""
+    p = tape_ledger(spark, sf).payments
+    return p.select("source_row_index", "payment_seq", "record_loan_id", iso("due_date").alias("due_date"),
+                    iso("actual_date").alias("actual_date"), "type", "state",
+                    big(F.bround(F.col("amount") * 100)).alias("cents"),
+                    big(F.bround(F.col("pending_amount") * 100)).alias("pending_cents"))
+
+
+@register(O.on_tape(""" SELECT id AS source_row_index, CAST(bad_diary AS INTEGER) AS unreadable, CAST(truncated AS INTEGER) AS truncated,
+  CAST(n_records AS BIGINT) AS n_records FROM lo"""))
+def nested_salvage(spark: SparkSession, sf: str) -> DataFrame:
+    """What survived of each history cell."""
+    return tape_ledger(spark, sf).loans.select(
+        "source_row_index", F.col("diary_error").isNotNull().cast("int").alias("unreadable"),
+        F.col("diary_truncated").cast("int").alias("truncated"), "n_records")
+
+
+@register(O.on_tape(""" SELECT id AS source_row_index, CAST(round(amount * 100) AS BIGINT) AS amount_cents, borrower_id,
+  CAST(disbursal AS VARCHAR) AS disbursal, CAST(rate AS BIGINT) AS rate, CAST(term AS BIGINT) AS term, status,
+  CAST(expected AS VARCHAR) AS expected, CAST(repayment AS VARCHAR) AS repayment, CAST(birth_year AS BIGINT) AS birth_year,
+  borrower_type, score, CAST(round(outstanding * 100) AS BIGINT) AS outstanding_cents, CAST(days_late AS BIGINT) AS days_late,
+  CAST(n_fields_bad AS BIGINT) + CASE WHEN id % 71 = 0 AND id % 67 <> 0 THEN 1 ELSE 0 END AS issues FROM lo"""))
+def scan_typing(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed loans from mixed number, date and identifier notations, with parse issues counted."""
+    c = F.col
+    return tape_ledger(spark, sf).loans.select(
+        "source_row_index", big(F.bround(c("loan_amount") * 100)).alias("amount_cents"), "borrower_id",
+        iso("disbursal_date").alias("disbursal"), big("interest_rate").alias("rate"),
+        c("loan_term_months").alias("term"), c("loan_status").alias("status"),
+        iso("expected_repayment_date").alias("expected"), iso("repayment_date").alias("repayment"), "birth_year",
+        "borrower_type", c("credit_score").alias("score"),
+        big(F.bround(c("outstanding_principal") * 100)).alias("outstanding_cents"), "days_late",
+        big(F.size("parse_issues")).alias("issues"))
+
+
+@register("""SELECT o_orderkey AS source_row_index, CAST(o_orderkey % 131 = 0 AS INTEGER) AS quarantined FROM orders""")
+def quarantine_split(spark: SparkSession, sf: str) -> DataFrame:
+    led = tape_ledger(spark, sf)
+    return led.loans.select("source_row_index", F.lit(0).alias("quarantined")).unionByName(
+        led.quarantine.select("source_row_index", F.lit(1).alias("quarantined")))
+
+
+@register(O.on_tape(""", d AS (SELECT disbursal AS d FROM lo UNION SELECT repayment FROM lo UNION SELECT actual FROM stated)
+  SELECT CAST(max(d) AS VARCHAR) AS as_of, CAST(datediff('day', (SELECT max(d) FROM d WHERE d < (SELECT max(d) FROM d)), max(d))
+    AS BIGINT) AS gap_days FROM d"""))
+def as_of_inference(spark: SparkSession, sf: str) -> DataFrame:
+    led = tape_ledger(spark, sf)
+    return infer_as_of(led.loans, led.payments).select(iso("as_of").alias("as_of"), big("gap_days").alias("gap_days"))
+
+
+@register(O.on_tape(O.TAPE_JUDGED_TAIL + """ SELECT id AS source_row_index, verdict, severity, integrity AS data_integrity,
+  credit_event, coverage AS validation_coverage, tier, rule_ids FROM judged UNION ALL SELECT o_orderkey, 'unreadable', 'critical',
+  'unknown', 'unknown', 'none', 'major', 'A1' FROM orders WHERE o_orderkey % 131 = 0"""))
+def tape_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole way from raw text cells to verdicts, including quarantined rows."""
+    raw = D.raw_tape(spark, sf)
+    led = build_ledger(raw, TAPE_POLICY, stager=lambda t: stage(t, "typed"))
+    led, assessed = assess_ledger(led, TAPE_POLICY)
+    results = verdicts(assessed, led, TAPE_POLICY)
+    return sinks.summary_table(results, led.quarantine).select(
+        "source_row_index", "verdict", F.when(F.col("severity") != "", F.col("severity")).alias("severity"),
+        "data_integrity", "credit_event", "validation_coverage", "tier", "rule_ids")
