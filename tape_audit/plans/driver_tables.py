@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tape_audit.plans.ledger import PAYMENT_BASE, Ledger, dense_position
+from tape_audit.session import tuned
 
 AS_OF = date(1997, 3, 31)
 TAPE_ID = "driver"
@@ -20,7 +21,7 @@ _ANCHOR = date(1993, 1, 5)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def disbursal(key: Column) -> Column:

@@ -14,6 +14,7 @@ from tape_audit.config import Dictionary, Policy
 from tape_audit.functions import normalize as N
 from tape_audit.operators import conventions as C
 from tape_audit.operators import diary
+from tape_audit.session import spread, tuned
 
 KEY = C.KEY
 
@@ -206,12 +207,13 @@ def build_ledger(raw: DataFrame, policy: Policy = Policy(), as_of: date | None =
         raise TapeRejectedError(
             f"tape rejected: missing {list(schema.required_missing)}, duplicated {list(schema.duplicated)}"
         )
+    n = spread(tuned(raw.sparkSession))
     if stager is None:
         # the one exchange of the plan: compact text rows, before they are exploded
-        typed = by_loan = to_loans(raw.repartition(*KEY), policy)
+        typed = by_loan = to_loans(raw.repartition(n, *KEY), policy)
     else:
         typed = stager(to_loans(raw, policy))
-        by_loan = typed.repartition(*KEY)
+        by_loan = typed.repartition(n, *KEY)
     loans, quarantine = split_quarantine(typed)
     return Ledger(
         loans=loans.drop("records"), payments=to_payments(split_quarantine(by_loan)[0]), quarantine=quarantine,

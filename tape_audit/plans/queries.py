@@ -6,24 +6,27 @@ integer millionths, so that results compare exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tape_audit.config import Policy
+from tape_audit.config import LOAN_STATUSES, Policy
 from tape_audit.functions import digits, irr
+from tape_audit.functions import normalize as N
 from tape_audit.operators.sequences import behaviour_profile, late_runs
-from tape_audit.operators.staging import stage
+from tape_audit.operators.staging import shared_dir, stage
 from tape_audit.plans import driver_tables as D
 from tape_audit.plans import features as X
-from tape_audit.plans import judgement, rollups, rules, tables
+from tape_audit.plans import health, judgement, rollups, rules, tables
 from tape_audit.plans import oracles as O
 from tape_audit.plans import tape_checks as TC
 from tape_audit.plans.audit import assess_ledger, verdicts
-from tape_audit.plans.ledger import KEY, Ledger, build_ledger, infer_as_of
+from tape_audit.plans.ledger import KEY, Ledger, build_ledger, infer_as_of, to_loans
 from tape_audit.sources import sinks
+from tape_audit.streaming.onboard import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -728,3 +731,258 @@ def tape_verdicts(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.summary_table(results, led.quarantine).select(
         "source_row_index", "verdict", F.when(F.col("severity") != "", F.col("severity")).alias("severity"),
         "data_integrity", "credit_event", "validation_coverage", "tier", "rule_ids")
+
+
+# ---- scalar cleaning ------------------------------------------------------------------------------
+
+@register("""SELECT o_orderkey AS k, CASE o_orderkey % 6
+  WHEN 0 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
+  WHEN 1 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
+  WHEN 2 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
+  WHEN 3 THEN CASE WHEN day(o_orderdate) <= 12 THEN strftime(make_date(year(o_orderdate), day(o_orderdate), month(o_orderdate)),
+    '%Y-%m-%d') ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END END AS value,
+  CASE o_orderkey % 6 WHEN 0 THEN 'iso' WHEN 1 THEN 'iso' WHEN 2 THEN '%d/%m/%Y'
+    WHEN 3 THEN CASE WHEN day(o_orderdate) <= 12 THEN '%d/%m/%Y' ELSE '%m/%d/%Y' END END AS fmt,
+  CAST(CASE o_orderkey % 6 WHEN 0 THEN 1 WHEN 1 THEN 1
+    WHEN 2 THEN CASE WHEN day(o_orderdate) <= 12 AND day(o_orderdate) <> month(o_orderdate) THEN 2 ELSE 1 END
+    WHEN 3 THEN CASE WHEN day(o_orderdate) <= 12 AND day(o_orderdate) <> month(o_orderdate) THEN 2 ELSE 1 END END AS BIGINT) AS readings,
+  CASE o_orderkey % 6 WHEN 4 THEN 'unrecognised date format' END AS error FROM orders""")
+def parse_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Order dates in six notations: ISO, ISO with time, day first, month first, dotted, missing."""
+    o, c = D.table(spark, sf, "orders"), F.col
+    d = F.to_date("o_orderdate")
+    m = c("o_orderkey") % 6
+    text = (
+        F.when(m == 0, d.cast("string")).when(m == 1, F.concat(d.cast("string"), F.lit("T00:00:00.000")))
+        .when(m == 2, F.date_format(d, "dd/MM/yyyy")).when(m == 3, F.date_format(d, "MM/dd/yyyy"))
+        .when(m == 4, F.date_format(d, "dd.MM.yyyy")).otherwise(F.lit(" NaT "))
+    )
+    out = N.type_columns(o.select(c("o_orderkey").alias("k"), text.alias("t")), {"d": ("date", c("t"))}, ["k"])
+    return out.select("k", iso("d.value").alias("value"), c("d.fmt").alias("fmt"),
+                      F.when(c("d.readings").isNotNull(), big(F.size("d.readings"))).alias("readings"),
+                      c("d.error").alias("error"))
+
+
+_NUM = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+
+
+@register(f"""SELECT m, CAST(count(*) AS BIGINT) AS n, CAST(coalesce(sum(CASE WHEN m IN (0, 1, 2, 3, 4) THEN {_NUM} END), 0) AS BIGINT)
+  AS cents, CAST(count(*) FILTER (WHERE m IN (5, 6, 7)) AS BIGINT) AS errors,
+  CASE m WHEN 5 THEN 'ambiguous numeric separator' WHEN 6 THEN 'invalid numeric grouping' WHEN 7 THEN 'not a finite number' END AS error
+  FROM (SELECT *, (l_orderkey + l_linenumber) % 9 AS m FROM lineitem) GROUP BY m""")
+def parse_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Detail amounts in nine notations; sums prove that each clean one is read back to the cent."""
+    c = F.col
+    cents = F.bround(c("l_extendedprice") * 100).cast("bigint")
+    whole, frac = F.floor(cents / 100), F.lpad((cents % 100).cast("string"), 2, "0")
+    high, low = F.floor(whole / 1000).cast("string"), F.lpad((whole % 1000).cast("string"), 3, "0")
+    m = (c("l_orderkey") + c("l_linenumber")) % 9
+    grouped = lambda g, d: F.when(whole >= 1000, F.concat(high, F.lit(g), low, F.lit(d), frac)).otherwise(
+        F.concat(whole.cast("string"), F.lit(d), frac))
+    text = (
+        F.when(m == 0, F.concat(whole.cast("string"), F.lit("."), frac)).when(m == 1, grouped(".", ","))
+        .when(m == 2, grouped(",", ".")).when(m == 3, F.concat(F.lit("EUR "), grouped(" ", ",")))
+        .when(m == 4, F.concat(whole.cast("string"), F.lit(","), frac, F.lit(" €")))
+        .when(m == 5, F.concat(F.lpad((whole % 100).cast("string"), 2, "1"), F.lit(","), low))
+        .when(m == 6, F.concat(F.lit("1.2.3,"), frac)).when(m == 7, F.concat(F.lit("n"), frac))
+        .otherwise(F.lit("None"))
+    )
+    lines = D.table(spark, sf, "lineitem").select(big(m).alias("m"), text.alias("t"))
+    out = N.type_columns(lines, {"v": ("float", c("t"))}, ["m"])
+    return out.groupBy("m").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(big(F.bround(c("v.value") * 100))), F.lit(0)).alias("cents"),
+        F.count("v.error").alias("errors"), F.max("v.error").alias("error"))
+
+
+@register("""SELECT o_orderkey AS k, CASE o_orderkey % 4 WHEN 3 THEN NULL ELSE o_custkey END AS value,
+  CASE o_orderkey % 4 WHEN 3 THEN concat('C-', CAST(o_custkey AS VARCHAR)) ELSE CAST(o_custkey AS VARCHAR) END AS text,
+  CASE o_orderkey % 3 WHEN 0 THEN o_orderkey * 1000003 WHEN 1 THEN o_custkey * 100 END AS whole FROM orders""")
+def parse_identifiers(spark: SparkSession, sf: str) -> DataFrame:
+    c, o = F.col, D.table(spark, sf, "orders")
+    cust, m = c("o_custkey").cast("string"), c("o_orderkey") % 4
+    ident = (F.when(m == 0, cust).when(m == 1, F.concat(cust, F.lit(".0"))).when(m == 2, F.concat(F.lit("  "), cust))
+             .otherwise(F.concat(F.lit("C-"), cust)))
+    m3 = c("o_orderkey") % 3
+    number = (F.when(m3 == 0, (c("o_orderkey") * 1000003).cast("string"))
+              .when(m3 == 1, F.concat(cust, F.lit("e2"))).otherwise(F.concat(cust, F.lit(".5"))))
+    rows = o.select(c("o_orderkey").alias("k"), ident.alias("a"), number.alias("b"))
+    out = N.type_columns(rows, {"i": ("id", c("a")), "w": ("int", c("b"))}, ["k"])
+    return out.select("k", "i.value", "i.text", c("w.value").alias("whole"))
+
+
+# ---- data-quality profile -------------------------------------------------------------------------
+
+def _sparse_customers(spark: SparkSession, sf: str) -> DataFrame:
+    c = F.col
+    return D.table(spark, sf, "customer").select(
+        c("c_custkey").cast("string").alias("key"), F.when(c("c_custkey") % 7 == 0, "  ").otherwise(c("c_name")).alias("name"),
+        F.when(c("c_custkey") % 9 == 0, c("c_mktsegment")).alias("segment"), F.lit(None).cast("string").alias("empty"),
+        F.when(c("c_custkey") % 50 == 0, "rare").otherwise("Common ").alias("kind"),
+        F.concat(F.lit("segment_code."), (c("c_custkey") % 5).cast("string")).alias("code"),
+        c("c_mktsegment").alias("market"), F.floor("c_acctbal").cast("string").alias("balance"),
+        c("c_acctbal").cast("string").alias("exact"))
+
+
+@register("""SELECT column_name AS "column", CAST((SELECT count(*) FROM customer) AS BIGINT) AS rows, CAST(filled AS BIGINT) AS filled,
+  CASE WHEN filled = 0 THEN 'empty' WHEN filled <= 0.2 * (SELECT count(*) FROM customer) THEN 'mostly_empty' ELSE 'ok' END AS state
+  FROM (SELECT 'key' AS column_name, count(*) AS filled FROM customer UNION ALL SELECT 'name', count(*) FILTER (WHERE c_custkey % 7 <> 0)
+  FROM customer UNION ALL SELECT 'segment', count(*) FILTER (WHERE c_custkey % 9 = 0) FROM customer UNION ALL SELECT 'empty', 0
+  UNION ALL SELECT 'kind', count(*) FROM customer UNION ALL SELECT 'code', count(*) FROM customer UNION ALL SELECT 'market', count(*)
+  FROM customer UNION ALL SELECT 'balance', count(*) FROM customer UNION ALL SELECT 'exact', count(*) FROM customer)""")
+def fill_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return health.fill_rates(_sparse_customers(spark, sf)).withColumn("filled", big("filled"))
+
+
+@register("""WITH v AS (SELECT 'event_type' AS "column", event_type AS value, count(*) AS n FROM events GROUP BY 2
+  UNION ALL SELECT 'user_id', CAST(user_id AS VARCHAR), count(*) FROM events GROUP BY 2
+  UNION ALL SELECT 'props', props, count(*) FROM events GROUP BY 2)
+SELECT "column", value, CAST(n AS BIGINT) AS n, CAST(r AS BIGINT) AS rank, CAST(d AS BIGINT) AS distinct_values FROM (
+  SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS r, count(*) OVER (PARTITION BY "column") AS d FROM v)
+WHERE r <= 50""")
+def value_counts_top(spark: SparkSession, sf: str) -> DataFrame:
+    """Fifty most frequent values per column (a top-k report) over all events."""
+    counts = health.value_counts(D.table(spark, sf, "events"), ["event_type", "user_id", "props"])
+    return health.top_values(counts).select("column", "value", "n", big("rank").alias("rank"),
+                                            big("distinct_values").alias("distinct_values"))
+
+
+@register("""SELECT 'kind' AS "column", 'common' AS dominant_value, CAST(count(*) FILTER (WHERE c_custkey % 50 <> 0) AS BIGINT) AS
+  rows_with_it, CAST(count(*) AS BIGINT) AS filled FROM customer""")
+def low_information(spark: SparkSession, sf: str) -> DataFrame:
+    df = _sparse_customers(spark, sf)
+    counts = health.value_counts(df, ["kind", "market", "code"])
+    fills = health.fill_rates(df, ["kind", "market", "code"]).select("column", "filled")
+    return health.low_information(counts, fills).select("column", "dominant_value", "rows_with_it",
+                                                        big("filled").alias("filled"))
+
+
+@register("""SELECT 'balance' AS "column", CAST(count(*) AS BIGINT) AS seen, CAST(1 AS BIGINT) AS whole FROM customer
+UNION ALL SELECT 'exact', count(*), CASE WHEN count(*) FILTER (WHERE c_acctbal <> round(c_acctbal)) = 0 THEN 1 ELSE 0 END FROM customer""")
+def integer_decimals(spark: SparkSession, sf: str) -> DataFrame:
+    """Decimal columns that hold only whole numbers."""
+    df = _sparse_customers(spark, sf)
+    parts = []
+    for name in ("balance", "exact"):
+        seen, whole = health.integer_valued(F.col(name))
+        parts.append(df.agg(F.lit(name).alias("column"), big(seen).alias("seen"), big(whole).alias("whole")))
+    return parts[0].unionByName(parts[1])
+
+
+@register(O.on_tape(f""" SELECT * FROM (SELECT 'loan_dates' AS metric, shape AS key, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT CASE WHEN k % 6 = 0 AND day(start) > 12 THEN 'DD/MM/YYYY' ELSE 'YYYY-MM-DDThh:mm:ss.sss' END AS shape FROM tape
+  UNION ALL SELECT 'YYYY-MM-DDThh:mm:ss.sss' FROM tape
+  UNION ALL SELECT 'YYYY-MM-DDThh:mm:ss.sss' FROM tape WHERE status = 'repaid' AND k % 59 <> 0) GROUP BY shape
+UNION ALL SELECT 'records', 'kept', count(*) FROM stated)"""))
+def date_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Layouts of the tape's loan dates, and the number of records its cells hold."""
+    raw = D.raw_tape(spark, sf)
+    shapes = health.loan_dates(raw).groupBy("key").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("loan_dates").alias("metric"), "key", "n")
+    records = to_loans(raw, TAPE_POLICY).filter("loan_id IS NOT NULL").agg(F.sum("n_records").alias("n"))
+    return shapes.unionByName(records.select(F.lit("records").alias("metric"), F.lit("kept").alias("key"), "n"))
+
+
+_PROFILE_SQL = """SELECT 'rows' AS metric, '' AS "column", CAST(count(*) AS BIGINT) AS value FROM orders
+UNION ALL SELECT 'quarantined', '', count(*) FILTER (WHERE o_orderkey % 131 = 0) FROM orders
+UNION ALL SELECT 'loans', '', count(*) FILTER (WHERE o_orderkey % 131 <> 0) FROM orders
+UNION ALL SELECT 'diary_unreadable', '', count(*) FILTER (WHERE o_orderkey % 131 <> 0 AND (o_orderkey % 67 = 0 OR o_orderkey % 71 = 0)) FROM orders
+UNION ALL SELECT 'diary_truncated', '', count(*) FILTER (WHERE o_orderkey % 131 <> 0 AND o_orderkey % 61 = 0 AND o_orderkey % 67 <> 0
+  AND o_orderkey % 71 <> 0 AND o_orderkey % 73 <> 0) FROM orders
+UNION ALL SELECT 'untranslated', 'Purpose', count(*) FILTER (WHERE o_orderkey % 97 = 0) FROM orders
+UNION ALL SELECT 'outside_dictionary', 'Credit score', count(*) FILTER (WHERE o_orderkey % 401 = 0) FROM orders
+UNION ALL SELECT 'filled', 'payments', count(*) FILTER (WHERE o_orderkey % 71 <> 0 OR o_orderkey % 67 = 0) FROM orders
+UNION ALL SELECT 'filled', 'Family income', 0 UNION ALL SELECT 'filled', 'City', count(*) FROM orders"""
+
+
+@register(_PROFILE_SQL)
+def mergeable_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Counters measured per slice of the tape and merged: the same figures as one pass over all rows."""
+    raw = stage(D.raw_tape(spark, sf), "raw")
+    parts = None
+    for slice_ in range(3):
+        piece = raw.filter(F.pmod("source_row_index", F.lit(3)) == slice_)
+        led = build_ledger(piece, TAPE_POLICY, stager=lambda t: stage(t, "typed"))
+        part = health.partial(piece, led.loans, led.payments, led.quarantine, TAPE_POLICY)
+        parts = part if parts is None else parts.unionByName(part)
+    wanted = (("rows", ""), ("quarantined", ""), ("loans", ""), ("diary_unreadable", ""), ("diary_truncated", ""),
+              ("untranslated", "Purpose"), ("outside_dictionary", "Credit score"), ("filled", "payments"),
+              ("filled", "Family income"), ("filled", "City"))
+    keep = F.lit(False)
+    for m, col in wanted:
+        keep = keep | ((F.col("metric") == m) & (F.col("column") == col))
+    return health.combine(parts.filter(keep)).select("metric", "column", "value")
+
+
+# ---- batches, accounting, outputs -----------------------------------------------------------------
+
+@register("""SELECT CAST((SELECT count(*) FROM orders) AS BIGINT) AS rows_read, CAST((SELECT count(*) FROM orders WHERE o_orderkey % 131 <> 0)
+  AS BIGINT) AS evaluated, CAST((SELECT count(*) FROM orders WHERE o_orderkey % 131 = 0) AS BIGINT) AS quarantined,
+  CAST(0 AS BIGINT) AS unaccounted, CAST(0 AS BIGINT) AS rows_not_reported_once""")
+def row_accounting(spark: SparkSession, sf: str) -> DataFrame:
+    raw = D.raw_tape(spark, sf)
+    led = build_ledger(raw, TAPE_POLICY)
+    out = rollups.row_accounting(raw, led.loans, led.quarantine)
+    return out.select(*[big(n).alias(n) for n in out.columns])
+
+
+@register("""WITH b AS (SELECT count(*) AS n FROM orders)
+SELECT problem, CAST(v AS BIGINT) AS n FROM (VALUES ('policy_digest_differs', 0), ('cuts_differ', 0), ('batches_missing', 0),
+  ('batches_repeated', 0), ('cuts_do_not_tile', 1), ('bounds_contradict_rows', 1), ('rows_outside_bounds', 0),
+  ('rows_reported_twice', 0)) t(problem, v)
+UNION ALL SELECT 'rows_not_reported', (SELECT count(*) FROM orders WHERE o_orderkey % 13 = 0) + 4""")
+def batch_merge_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Four batches of the orders with planted faults: the third claims five rows too many, and rows with
+    key divisible by 13 are never reported, and the second owns to one row too few."""
+    orders = D.table(spark, sf, "orders").select(F.col("o_orderkey").alias("source_row_index"))
+    top = orders.agg(F.max("source_row_index").alias("top"), F.count(F.lit(1)).alias("total"))
+    cuts = top.select(F.explode(F.sequence(F.lit(0), F.lit(3))).alias("b"), F.floor((F.col("top") + 4) / 4).alias("w"),
+                      "top")
+    stop = F.least((F.col("b") + 1) * F.col("w"), F.col("top") + 1)
+    batches = cuts.select(
+        F.col("b").alias("batch_index"), F.lit(4).alias("batch_count"), (F.col("b") * F.col("w")).alias("row_start"),
+        (stop + F.when(F.col("b") == 2, 5).otherwise(0)).alias("row_stop"),
+        (stop - F.col("b") * F.col("w") + F.when(F.col("b") == 2, 5).otherwise(0)
+         - F.when(F.col("b") == 1, 1).otherwise(0)).alias("rows_read"),
+        F.lit(POLICY.digest()).alias("policy_digest"))
+    bounds = cuts.select(F.col("b").alias("batch_index"), (F.col("b") * F.col("w")).alias("lo"), stop.alias("hi"))
+    rows = orders.filter("source_row_index % 13 <> 0").join(
+        F.broadcast(bounds), (F.col("source_row_index") >= F.col("lo")) & (F.col("source_row_index") < F.col("hi")))
+    return rollups.batch_merge_check(batches, rows.select("batch_index", "source_row_index")).select(
+        "problem", big("n").alias("n"))
+
+
+@register("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN concat('''=', c_name) WHEN 1 THEN concat(''' -', c_name)
+  WHEN 2 THEN concat('''@', c_name) ELSE c_name END AS name,
+  CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS VARCHAR) ELSE '[unavailable]' END AS public_id,
+  CASE c_custkey % 4 WHEN 0 THEN 'granted' WHEN 1 THEN 'repaid' WHEN 2 THEN 'unknown' END AS category FROM customer""")
+def output_redaction(spark: SparkSession, sf: str) -> DataFrame:
+    """Formula escape, identifier and category allow-lists on the way out."""
+    c = F.col
+    m = c("c_custkey")
+    name = (F.when(m % 5 == 0, F.concat(F.lit("="), c("c_name"))).when(m % 5 == 1, F.concat(F.lit(" -"), c("c_name")))
+            .when(m % 5 == 2, F.concat(F.lit("@"), c("c_name"))).otherwise(c("c_name")))
+    ident = F.when(m % 3 == 0, m.cast("string")).otherwise(F.concat(F.lit("X"), m.cast("string")))
+    category = F.when(m % 4 == 0, " Granted").when(m % 4 == 1, "repaid").when(m % 4 == 2, "lost")
+    df = D.table(spark, sf, "customer").select("c_custkey", name.alias("name"), ident.alias("ident"),
+                                              category.alias("category"))
+    return sinks.csv_safe(df).select(
+        "c_custkey", "name", judgement.public_identifier(c("ident")).alias("public_id"),
+        judgement.public_category(c("category"), LOAN_STATUSES).alias("category"))
+
+
+@register("""SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
+  FROM events GROUP BY event_type""")
+def stream_onboarding(spark: SparkSession, sf: str) -> DataFrame:
+    """Files arriving in a stream: each micro-batch is reduced and published once, keyed by its epoch."""
+    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    source = spark.readStream.schema(D.table(spark, sf, "events").schema).option("maxFilesPerTrigger", 1).option(
+        "pathGlobFilter", "events.parquet").parquet(sf)
+
+    def publish(rows: DataFrame, epoch: int) -> None:
+        rows.groupBy("event_type").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.bround(F.col("value") * 100).cast("bigint")).alias("cents"),
+        ).write.mode("overwrite").parquet(f"{base}/out/epoch={epoch}")
+
+    incremental(source, publish, f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(
+        F.sum("n").alias("n"), F.sum("cents").alias("cents"))
