@@ -348,7 +348,6 @@ def interest_accrual(ledger: Ledger, policy: Policy) -> DataFrame:
 def rate_candidates(ledger: Ledger, policy: Policy) -> DataFrame:
     """Loans whose cash flows pass every precondition of a rate comparison. Cheap and narrow, so that the
     solver runs only where its result is used."""
-    c, cfg = F.col, policy.irr
     m = _measures(policy, ledger.as_of)
     names = ["n_all", "n_cash", "n_cash_undated", "first_cash", "last_cash",
              "m_interest_open_all", "m_interest_open_paid"]

@@ -209,11 +209,12 @@ def build_ledger(raw: DataFrame, policy: Policy = Policy(), as_of: date | None =
         )
     n = spread(tuned(raw.sparkSession))
     if stager is None:
-        # the one exchange of the plan: compact text rows, before they are exploded
-        typed = by_loan = to_loans(raw.repartition(n, *KEY), policy)
+        # the one exchange of the plan: compact text rows, before they are exploded. Only the row position is
+        # hashed: a constant tape_id is folded away, and clustering by a part of the key serves the whole key.
+        typed = by_loan = to_loans(raw.repartition(n, "source_row_index"), policy)
     else:
         typed = stager(to_loans(raw, policy))
-        by_loan = typed.repartition(n, *KEY)
+        by_loan = typed.repartition(n, "source_row_index")
     loans, quarantine = split_quarantine(typed)
     return Ledger(
         loans=loans.drop("records"), payments=to_payments(split_quarantine(by_loan)[0]), quarantine=quarantine,

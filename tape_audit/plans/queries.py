@@ -562,8 +562,8 @@ def benford_profile(spark: SparkSession, sf: str) -> DataFrame:
     """First-digit and first-two-digit deviation of order totals."""
     counts = digits.digit_counts(_cents_of(D.table(spark, sf, "orders"), "o_totalprice").withColumn(
         "_all", F.lit(1)), "cents", ["_all"])
-    one = digits._deviation(counts, ["_all"], "digit", 9, "m1")
-    two = digits._deviation(counts, ["_all"], "two", 90, "m2")
+    one = digits.deviation(counts, ["_all"], "digit", 9, "m1")
+    two = digits.deviation(counts, ["_all"], "two", 90, "m2")
     n = counts.groupBy("_all").agg(F.sum("n").alias("amounts"))
     return n.join(one, "_all").join(two, "_all").select(
         "amounts", big(F.round(F.col("m1") * 1000000)).alias("mad1"), digits.band(F.col("m1"), False).alias("band1"),
@@ -580,7 +580,7 @@ def benford_segments(spark: SparkSession, sf: str) -> DataFrame:
     """First-digit deviation per event type: all segments from one shuffle of at most 99 groups each."""
     rows = _cents_of(D.table(spark, sf, "events").filter("value >= 1"), "value", F.col("event_type"))
     counts = digits.digit_counts(rows, "cents", ["event_type"])
-    one = digits._deviation(counts, ["event_type"], "digit", 9, "m1")
+    one = digits.deviation(counts, ["event_type"], "digit", 9, "m1")
     n = counts.groupBy("event_type").agg(F.sum("n").alias("amounts"))
     return n.join(one, "event_type").select("event_type", "amounts",
                                             big(F.round(F.col("m1") * 1000000)).alias("mad1"))
