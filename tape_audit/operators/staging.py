@@ -1,8 +1,8 @@
 """Cutting lineage through shared storage.
 
-A prepared table that feeds several aggregations is written once as Parquet into the shared folder the
-cluster names in ``spark.checkpoint.dir``. Each reader then prunes its own columns, and a lost executor costs
-a re-read, not a recomputation.
+A prepared table that feeds several jobs is written once as Parquet into the shared folder the cluster names in
+``spark.checkpoint.dir``. Each reader then prunes its own columns, and a lost executor costs a re-read, not a
+recomputation. ``drop_staged`` removes what a session staged once its results are published.
 """
 
 from __future__ import annotations
@@ -13,19 +13,27 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The session's shared folder; only where none is configured (tests) a local one is made."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        made = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", made)
-        return made
-    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+def shared_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """``folder`` if given, else the session's ``spark.checkpoint.dir``. Where neither names one, the folder of
+    ``setCheckpointDir`` is taken, and a temporary one is set for sessions that have none at all (tests)."""
+    configured = folder or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        configured = spark.sparkContext.getCheckpointDir()
+    return configured.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    path = f"{shared_dir(df.sparkSession)}/staged/{name}-{uuid.uuid4().hex}"
+def staged_root(spark: SparkSession, folder: str | None = None) -> str:
+    return f"{shared_dir(spark, folder)}/staged/{spark.sparkContext.applicationId}"
+
+
+def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    path = f"{staged_root(df.sparkSession, folder)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession, folder: str | None = None) -> None:
+    """Removes every table this application has staged; call it after the results that read them are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged_root(spark, folder))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tape_audit.plans.queries import ORACLES, QUERIES
 from tools.check_oracles import rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -30,7 +31,7 @@ def test_twin(spark, name):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
