@@ -189,9 +189,9 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, shard: int = SHARD
 
 TOP_SQL = f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor({SCALE} * x::DOUBLE)::BIGINT) AS w FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS w FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.w::DOUBLE[], c.w::DOUBLE[])::BIGINT AS score
   FROM v q, v c WHERE q.vec_id % {EVERY} = 0 AND q.vec_id <> c.vec_id
