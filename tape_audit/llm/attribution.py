@@ -12,7 +12,9 @@ white space) before it merges anything, so pieces that were met before keep thei
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +23,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tape_audit.llm.buffers import raw_texts
+from tape_audit.llm.plain_words import PlainWords
 
 RULES = ("first", "last", "most")
-KNOWN_PIECES = 300_000  # entries of a task's memory of encoded pieces; beyond it the memory starts anew
+KNOWN_PIECES = 200_000  # entries of a task's memory of encoded pieces; beyond it the memory starts anew
 KNOWN_CHARS = 48
 _PIECE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _ODD_SPACE = re.compile(r"[\x1c-\x1f\u180e]")  # where notions of white space differ: such texts are encoded as a whole
@@ -39,26 +42,61 @@ class SpanEncoder:
     def __init__(self, path: str, known: int = KNOWN_PIECES) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.plain = PlainWords(self.tokenizer)
         self.limit = known
         self.known: dict[str, bytes] = {}
 
     def _encode(self, pieces: list[str]) -> Iterator[bytes]:
         for got in self.tokenizer.encode_batch(pieces, add_special_tokens=False):
-            yield np.array(got.offsets, np.uint32).reshape(-1, 2).tobytes()
+            yield array("I", chain.from_iterable(got.offsets)).tobytes()
+
+    def _body(self, piece: str) -> bytes:
+        """Spans of a plain word with the blank before it."""
+        found = self.known.get(piece)
+        if found is None:
+            ends = list(accumulate(len(t.value) for t in self.plain.tokens(piece)))
+            starts = [0, *ends[:-1]]
+            if not piece.isascii():  # bytes to characters; a token may begin or end inside one
+                at = [i for i, c in enumerate(piece) for _ in c.encode()]
+                starts, ends = [at[s] for s in starts], [at[e - 1] + 1 for e in ends]
+            found = self.known[piece] = array("I", chain.from_iterable(zip(starts, ends, strict=True))).tobytes()
+        return found
+
+    def _marks(self, run: str) -> array:
+        if run not in self.known:
+            self.known[run] = next(self._encode([run]))
+        return array("I", self.known[run])
+
+    def _learn(self, pieces: set[str]) -> None:
+        odd = []
+        for piece in pieces:
+            blank = piece[0] == " "
+            parted = self.plain.parted(piece[blank:])
+            if parted is None:
+                odd.append(piece)
+            elif parted[1]:
+                first = len(piece) - len(parted[1])
+                self.known[piece] = self._body(piece[:first]) + array("I", (i + first for i in self._marks(parted[1]))).tobytes()
+            else:
+                self._body(piece)
+        if odd:
+            self.known.update(zip(odd, self._encode(odd), strict=True))
 
     def spans(self, text: str) -> np.ndarray:
         """(first, end) in characters of every token. Tokens that share a character share its place."""
         if _ODD_SPACE.search(text):
             return np.frombuffer(next(self._encode([text])), np.uint32).reshape(-1, 2).astype(np.int64)
         pieces = _PIECE.findall(text)
-        if not pieces:
-            return np.empty((0, 2), np.int64)
-        new = list(set(pieces).difference(self.known))
-        found = dict(zip(new, self._encode(new), strict=True)) if new else {}
-        own = [found[p] if p in found else self.known[p] for p in pieces] if new else list(map(self.known.__getitem__, pieces))
-        if len(self.known) + len(found) > self.limit:
+        new = set(pieces).difference(self.known)
+        if new:
+            self._learn(new)
+        own = list(map(self.known.__getitem__, pieces))
+        if len(self.known) > self.limit:
             self.known = {}
-        self.known |= {p: x for p, x in found.items() if len(p) <= KNOWN_CHARS}
+        elif new:
+            for piece in [p for p in new if len(p) > KNOWN_CHARS]:
+                self.known.pop(piece, None)
+                self.known.pop(piece[:-1], None)
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         counts = np.fromiter(map(len, own), np.int64, len(own)) // 8
         spans = np.frombuffer(b"".join(own), np.uint32).reshape(-1, 2).astype(np.int64)

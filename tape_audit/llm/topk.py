@@ -31,6 +31,7 @@ SHARD = 8192  # vectors
 QUERIES = 1024  # in a block
 LEAF = 128
 EXACT = 1 << 53
+LARGEST = (1 << 63) - 1
 SLACK = 1e-9  # relative, for the rounding of bounds
 
 
@@ -133,7 +134,7 @@ def _walk(key: tuple, trees: pa.Table, asked: pa.Table, k: int, width: int) -> p
         if queries.dtype != tree.rows.dtype:
             queries, tree.rows = _as_object(queries), _as_object(tree.rows)
         for own, q, score, other in zip(asked.column("vec_id").to_pylist(), queries, *(asked.column(c).to_pylist() for c in ("floor_score", "floor_id")), strict=True):
-            found += [(own, -i, s) for s, i in tree.search(q, own, k, None if score is None else (score, -other))]
+            found += [(own, -i, max(-LARGEST - 1, min(LARGEST, s))) for s, i in tree.search(q, own, k, None if score is None else (score, -other))]
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
     return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else ([], [], []))], schema=schema)
 
@@ -157,7 +158,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, shard: int = SHARD
 
     Vectors that are null or hold null or non-finite components, and rows without vec_id, take no part. Shorter vectors
     count as ending in zeros. Rows that repeat a vec_id are candidates each, but none of them for their own query, and
-    a repeated query gives one result. Fewer candidates than k, fewer rows.
+    a repeated query gives one result. Scores beyond a long are cut to its range. Fewer candidates than k, fewer rows.
     """
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     used = stage(vectors.where("vec_id is not null and embedding is not null").where(finite)

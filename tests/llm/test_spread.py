@@ -153,7 +153,9 @@ def test_top_k(spark, shard, block):
 
 
 def test_top_k_few_and_large(spark):
-    rows = [(0, [3.0e7, 1.0], 1, "x", 2), (1, [3.0e7, -2.0], 1, "x", 2), (2, [-3.0e7, 5.0], 1, "x", 2)]
+    rows = [(0, [6.0e6, 1.0], 1, "x", 2), (1, [6.0e6, -2.0], 1, "x", 2), (2, [-6.0e6, 5.0], 1, "x", 2)]
     got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int, score string, shard int"), 5, 1).collect()
     assert sorted(tuple(r) for r in got) == slow_top(rows, 5, 1)
+    huge = [(0, [3.0e7], 1, "x", 2), (1, [9.0e7], 1, "x", 2)]
+    assert [r["score"] for r in topk.top_k(spark.createDataFrame(huge, VECTORS), 5, 1).collect()] == [(1 << 63) - 1] * 2
     assert topk.top_k(spark.createDataFrame([], VECTORS)).collect() == []

@@ -91,8 +91,8 @@ def test_attribution_equals_brute_force(spark, rule):
         counts, crossing = [0] * (len(edges) - 1), 0
         offsets = PLAIN.encode(text, add_special_tokens=False).offsets
         for a, b in offsets:
-            held = [max(0, min(b, edges[i + 1]) - max(a, edges[i])) for i in range(max(0, a // 7 - 2), min(len(counts), b // 7 + 2))]
-            base = max(0, a // 7 - 2)
+            base = max(0, min(a // 7, len(counts)) - 2)
+            held = [max(0, min(b, edges[i + 1]) - max(a, edges[i])) for i in range(base, min(len(counts), b // 7 + 2))]
             parts = [base + i for i, h in enumerate(held) if h] or [len(counts) - 1]
             crossing += len(parts) > 1
             counts[{"first": parts[0], "last": parts[-1], "most": base + held.index(max(held))}[rule]] += 1
