@@ -27,21 +27,23 @@ from tokenizers import Tokenizer
 
 from tape_audit.llm.buffers import raw_texts
 from tape_audit.llm.elias_fano import EliasFano
+from tape_audit.llm.plain_words import PlainWords
 from tape_audit.operators.staging import stage, staged_root
 
 MAGIC = b"TOKENEF1"
 END_ID = 1
-KNOWN_WORDS = 400_000  # entries of a task's memory of encoded words; beyond it the memory starts anew
+KNOWN_WORDS = 200_000  # entries of a task's memory of encoded words; beyond it the memory starts anew
 KNOWN_CHARS = 48  # longer words are encoded each time
 READ_IDS = 4_000_000  # ids read at once, or one document
 
 
 class WordEncoder:
-    """Ids of texts under a tokenizer that drops white space: it never joins characters over a blank or a line end,
-    so a text's ids are those of its words in order, and each word is handed to the tokenizer once."""
+    """Ids of texts under a tokenizer that lower-cases and drops white space: it never joins characters over a blank or a
+    line end, so a text's ids are those of its words in order, and each word is encoded once."""
 
     def __init__(self, path: str, known: int = KNOWN_WORDS) -> None:
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = PlainWords(self.tokenizer)
         self.type = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.limit = known
         self.known: dict[str, bytes] = {"": b""}
@@ -50,27 +52,41 @@ class WordEncoder:
         for got in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
             yield array(self.type, got.ids).tobytes()
 
-    @staticmethod
-    def _parts(word: str) -> tuple[str, str]:
-        """A plain word and the mark behind it: lower-cased Latin letters keep their ids with or without the mark."""
-        if word[-1:] in ".,;:!?" and word[:-1].isalpha() and max(word) < "ɐ":
-            return word[:-1].lower(), word[-1]
-        return (word.lower(), "") if word.isalpha() and max(word) < "ɐ" else (word, "")
+    def _body(self, word: str) -> bytes:
+        found = self.known.get(word)
+        if found is None:
+            found = self.known[word] = array(self.type, [t.id for t in self.plain.tokens(word)]).tobytes()
+        return found
+
+    def _learn(self, words: set[str]) -> None:
+        odd = []
+        for word in words:
+            low = word.lower()
+            parted = self.plain.parted(low)
+            if parted is None:
+                odd.append(word)
+            else:
+                self.known[word] = self._body(parted[0]) + self._marks(parted[1])
+        if odd:
+            self.known.update(zip(odd, self._encode(odd), strict=True))
+
+    def _marks(self, run: str) -> bytes:
+        if run not in self.known:
+            self.known[run] = next(self._encode([run]))
+        return self.known[run]
 
     def ids(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
         new = set(words).difference(self.known)
-        if not new:
-            return b"".join(map(self.known.__getitem__, words))
-        parts = {w: self._parts(w) for w in new}
-        need = list({p for both in parts.values() for p in both}.difference(self.known))
-        found = dict(zip(need, self._encode(need), strict=True))
-        look = lambda p: found[p] if p in found else self.known[p]
-        found |= {w: look(a) + look(b) for w, (a, b) in parts.items()}
-        out = b"".join([found[w] if w in found else self.known[w] for w in words])
-        if len(self.known) + len(found) > self.limit:
+        if new:
+            self._learn(new)
+        out = b"".join(map(self.known.__getitem__, words))
+        if len(self.known) > self.limit:
             self.known = {"": b""}
-        self.known |= {w: x for w, x in found.items() if len(w) <= KNOWN_CHARS}
+        elif new:
+            for word in [w for w in new if len(w) > KNOWN_CHARS]:
+                self.known.pop(word, None)
+                self.known.pop(word.lower(), None)
         return out
 
 

@@ -62,7 +62,7 @@ def test_stages(spark, tmp_path):
     least = {c for _, _, c in slow_components([r[:2] for r in good])}
     assert {r[0] for r in kept["near_dedup"]} == least and len(kept["near_dedup"]) == len(least)
     assert kept["decontaminate"] == [r for r in kept["near_dedup"] if not 200 <= r[0] < 205]
-    copies = {d: round(t / n) for d, n, _, _, t in slow_mix(kept["decontaminate"])[0]}
+    copies = {d: int(t / n + 0.5) for d, n, _, _, t in slow_mix([(r[0], r[1], r[3]) for r in kept["decontaminate"]])[0]}
     assert kept["mix_sources"] == sorted(r for r in kept["decontaminate"] for _ in range(copies[r[0]]))
 
     out = corpus_pipeline.run(spark, str(tmp_path)).orderBy("start").collect()
