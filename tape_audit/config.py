@@ -15,7 +15,7 @@ from datetime import date
 from typing import Any
 
 
-class ConfigError(ValueError):
+class PolicyError(ValueError):
     """The policy is malformed or contradicts itself."""
 
 
@@ -41,7 +41,7 @@ PURPOSE_CODE = r"^loan_purpose\.\d+$"
 
 def _require(ok: bool, text: str) -> None:
     if not ok:
-        raise ConfigError(text)
+        raise PolicyError(text)
 
 
 def _share(name: str, value: float) -> None:
@@ -183,7 +183,7 @@ class Dictionary:
         try:
             re.compile(self.purpose_code_pattern)
         except re.error as exc:
-            raise ConfigError("purpose_code_pattern is not a regular expression") from exc
+            raise PolicyError("purpose_code_pattern is not a regular expression") from exc
 
 
 @dataclass(frozen=True)
@@ -223,7 +223,7 @@ class Policy:
             with open(path, encoding="utf-8") as fh:
                 raw = json.load(fh)
         except (OSError, ValueError) as exc:
-            raise ConfigError(f"could not load policy ({type(exc).__name__})") from exc
+            raise PolicyError(f"could not load policy ({type(exc).__name__})") from exc
         return cls.from_dict(raw)
 
     def digest(self) -> str:
@@ -262,7 +262,7 @@ def _build(cls: type, raw: Any, where: str) -> Any:
                 try:
                     value = date.fromisoformat(value)
                 except ValueError as exc:
-                    raise ConfigError(f"{where}.as_of must be an ISO date") from exc
+                    raise PolicyError(f"{where}.as_of must be an ISO date") from exc
             _require(value is None or isinstance(value, date), f"{where}.as_of must be a date")
         else:
             _require(isinstance(value, str), f"{where}.{key} must be text")

@@ -95,14 +95,26 @@ def float_value(n: Column) -> Column:
     )
 
 
+def scientific_whole(text: Column) -> tuple[Column, Column]:
+    """(is whole, digits) of a number in exponent notation, decided on its digits, so that nothing is rounded. The
+    digits are NULL where they would be more than a long can hold."""
+    part = lambda i: F.regexp_extract(text, r"^([+-]?)(\d*)\.?(\d*)[eE]([+-]?\d+)$", i)
+    digits = F.concat(part(2), part(3))
+    significant = F.regexp_replace(digits, "0+$", "")
+    power = part(4).try_cast("int") - F.length(part(3)) + F.length(digits) - F.length(significant)
+    zero = F.regexp_replace(digits, "0", "") == ""
+    return zero | (power >= 0), F.when(zero, F.lit("0")).when(
+        power.between(0, 19), F.concat(part(1), significant, F.repeat(F.lit("0"), power)))
+
+
 def int_value(n: Column) -> Column:
     """``struct<value bigint, error>`` without a detour through double."""
     text = n["text"]
-    scaled = text.try_cast("decimal(38,6)")
-    exponent = text.rlike("[eE]") & (scaled == F.floor(scaled))
+    whole, digits = scientific_whole(text)
+    exponent = text.rlike("[eE]") & whole
     value = F.when(
         text.rlike(_WHOLE_NUMBER), F.regexp_replace(text, r"\.0*$", "").try_cast("bigint")
-    ).when(exponent, scaled.try_cast("bigint"))
+    ).when(exponent, digits.try_cast("bigint"))
     error = F.when(
         text.isNotNull() & value.isNull(),
         F.when(text.rlike(_WHOLE_NUMBER) | F.coalesce(exponent, F.lit(False)),
@@ -154,8 +166,11 @@ def typed_date(c: Column, kind: str) -> Column:
 
 
 def identifier_value(t: Column) -> Column:
-    """``struct<value bigint, text>``: integer reading if there is one, and the trimmed text."""
-    text = F.regexp_replace(t, r"\.0$", "")
+    """``struct<value bigint, text>``: integer reading if there is one, and the trimmed text. Whole numbers in exponent
+    notation, as doubles of ten million and more are printed, count as what they stand for."""
+    whole, digits = scientific_whole(t)
+    text = F.when(t.rlike(r"^[+-]?\d+(\.\d*)?[eE][+-]?\d+$") & whole & digits.isNotNull(), digits).otherwise(
+        F.regexp_replace(t, r"\.0$", ""))
     return F.struct(
         F.when(~is_missing(t) & text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint")).alias("value"),
         F.when(~is_missing(t), text).otherwise(F.lit("")).alias("text"),

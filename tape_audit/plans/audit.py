@@ -19,7 +19,7 @@ from tape_audit.operators.staging import stage
 from tape_audit.plans import judgement, rules, tables
 from tape_audit.plans.catalog import RULESET_VERSION
 from tape_audit.plans.health import tape_health
-from tape_audit.plans.ledger import KEY, Ledger, TapeRejectedError, build_ledger, resolve_as_of
+from tape_audit.plans.ledger import KEY, Ledger, TapeRefusedError, build_ledger, resolve_as_of
 from tape_audit.plans.rollups import (
     publication_status, row_accounting, triage_rank, verdict_rollup,
 )
@@ -32,6 +32,7 @@ VERDICT_KEEP = [*KEY, "loan_id", "loan_status"]
 @dataclass(frozen=True)
 class Audit:
     ledger: Ledger
+    tape_id: str
     as_of: date
     as_of_source: str
     assessed: DataFrame
@@ -61,11 +62,19 @@ def run_id(tape_digest: str, policy: Policy, as_of: date) -> str:
     return hashlib.sha256(json.dumps(parts, sort_keys=True).encode()).hexdigest()[:32]
 
 
+def tape_of(raw: DataFrame) -> str:
+    """The tape that the rows belong to; one audit is of one tape."""
+    row = raw.select("tape_id").first()
+    if row is None:
+        raise TapeRefusedError("tape rejected: no rows")
+    return row["tape_id"]
+
+
 def run_metadata(raw: DataFrame, audit_as_of: date, source: str, policy: Policy, tape_digest: str,
                  status: DataFrame) -> DataFrame:
     return status.select(
         F.lit(run_id(tape_digest, policy, audit_as_of)).alias("run_id"),
-        F.lit(tape_digest[:12]).alias("tape_id"), F.lit(tape_digest).alias("tape_digest"),
+        F.lit(tape_of(raw)).alias("tape_id"), F.lit(tape_digest).alias("tape_digest"),
         F.lit(audit_as_of).alias("as_of"), F.lit(source).alias("as_of_source"),
         F.lit(RULESET_VERSION).alias("ruleset_version"), F.lit(policy.digest()).alias("policy_digest"),
         *status.columns)
@@ -76,7 +85,7 @@ def audit(raw: DataFrame, policy: Policy = Policy(), tape_digest: str | None = N
     ledger = build_ledger(raw, policy, stager=lambda typed: stage(typed, "typed"))
     quarantine = ledger.quarantine
     if policy.as_of is None and ledger.loans.isEmpty():
-        raise TapeRejectedError("tape rejected: no usable row")
+        raise TapeRefusedError("tape rejected: no usable row")
     as_of, source = resolve_as_of(ledger, policy)
     ledger, assessed = assess_ledger(replace(ledger, as_of=as_of), policy)
     results = stage(verdicts(assessed, ledger, policy), "results")
@@ -85,7 +94,7 @@ def audit(raw: DataFrame, policy: Policy = Policy(), tape_digest: str | None = N
     status = publication_status(results, checks, accounting)
     out = {
         "summary": sinks.summary_table(results, quarantine),
-        "loan_results": results,
+        "loan_results": judgement.public_results(results),
         "rule_outcomes": judgement.long_outcomes(results),
         "findings": judgement.long_findings(results),
         "payments": tables.payments_table(ledger, policy),
@@ -98,9 +107,12 @@ def audit(raw: DataFrame, policy: Policy = Policy(), tape_digest: str | None = N
         "rollup": verdict_rollup(results), "triage": triage_rank(results),
         "run": run_metadata(raw, as_of, source, policy, tape_digest or "unknown", status),
     }
-    return Audit(ledger, as_of, source, assessed, results, quarantine, out)
+    tape, run = tape_of(raw), run_id(tape_digest or "unknown", policy, as_of)
+    stamped = {name: df.withColumns({"tape_id": F.lit(tape), "run_id": F.lit(run)}) for name, df in out.items()}
+    return Audit(ledger, tape, as_of, source, assessed, results, quarantine, stamped)
 
 
 def write_audit(result: Audit, folder: str, fmt: str = "parquet") -> None:
+    """Publishes every table; tapes published before into the same folder are not touched."""
     for name, df in result.tables.items():
-        sinks.write_table(df, f"{folder}/{name}", fmt)
+        sinks.publish_table(df, f"{folder}/{name}", result.tape_id, fmt)

@@ -19,11 +19,11 @@ from tape_audit.session import spread, tuned
 KEY = C.KEY
 
 
-class TapeRejectedError(ValueError):
+class TapeRefusedError(ValueError):
     """The tape cannot be audited: schema broken, or no usable row."""
 
 
-class AsOfError(ValueError):
+class NoAuditDateError(ValueError):
     """No as-of date was given and none can be inferred."""
 
 
@@ -204,7 +204,7 @@ def build_ledger(raw: DataFrame, policy: Policy = Policy(), as_of: date | None =
     the typed rows, so that the text is decoded once however many plans read them."""
     schema = check_schema(raw.columns, policy.dictionary)
     if not schema.ok:
-        raise TapeRejectedError(
+        raise TapeRefusedError(
             f"tape rejected: missing {list(schema.required_missing)}, duplicated {list(schema.duplicated)}"
         )
     n = spread(tuned(raw.sparkSession))
@@ -245,23 +245,28 @@ def resolve_as_of(ledger: Ledger, policy: Policy) -> tuple[date, str]:
         return policy.as_of, "config"
     row = infer_as_of(ledger.loans, ledger.payments).first()
     if row is None or row.as_of is None:
-        raise AsOfError("cannot infer an as-of date: the tape holds no observed date")
+        raise NoAuditDateError("cannot infer an as-of date: the tape holds no observed date")
     source = "inferred:max_date_in_tape"
     if row.gap_days is not None and row.gap_days > policy.tolerance.as_of_isolated_days:
         source += f" (isolated: next-latest date is {row.gap_days} days earlier)"
     return row.as_of, source
 
 
-def with_row_index(df: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """Contiguous 0-based source position: partition counts first, then local positions. Unlike one global
-    window this needs no single-task sort, and only one small row per partition is gathered."""
+def with_row_index(df: DataFrame) -> DataFrame:
+    """Contiguous 0-based source position of the rows of a file scan. Rows are counted per partition first; a row's
+    position is its partition's offset and its place inside. All of it stays in the JVM, no row is sorted or
+    shuffled, and the offsets are one row per partition."""
     if "source_row_index" in df.columns:
         return df
-    if order:
-        df = df.orderBy(*order)
-    indexed = df.rdd.zipWithIndex().map(lambda p: (*p[0], p[1]))
-    schema = T.StructType([*df.schema.fields, T.StructField("source_row_index", T.LongType(), False)])
-    return df.sparkSession.createDataFrame(indexed, schema, verifySchema=False)
+    local = F.monotonically_increasing_id()  # the partition's number stands above 33 bits of local position
+    placed = df.withColumn("_place", local)
+    part = F.shiftright("_place", 33)
+    counts = df.select(local.alias("_place")).groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn("_part", part).join(F.broadcast(offsets), "_part").select(
+        *(F.col(f"`{c}`") for c in df.columns), (F.col("_offset") + inside).alias("source_row_index"))
 
 
 def dense_position(df: DataFrame, keys: list[str], order: list[str], spread: Column, out: str) -> DataFrame:

@@ -528,13 +528,13 @@ def shared_rows(spark: SparkSession, sf: str) -> DataFrame:
     return TC.shared_rows(lines, ["l_partkey", "l_suppkey", "thousands"], "l_orderkey")
 
 
-@register(f"""{_PAID}, keys AS (SELECT due, type, cents // 100000 AS k FROM paidrow WHERE due IS NOT NULL GROUP BY 1, 2, 3
+@register(f"""{_PAID}, keys AS (SELECT due, type, cents // 100000 AS k FROM paidrow GROUP BY 1, 2, 3
   HAVING count(DISTINCT id) > 1)
 SELECT DISTINCT CAST(p.due AS VARCHAR) AS due_date, p.type, p.cents // 100000 AS thousands, p.id AS loan_id
-FROM paidrow p JOIN keys ON keys.due = p.due AND keys.type = p.type AND keys.k = p.cents // 100000""")
+FROM paidrow p JOIN keys ON keys.due IS NOT DISTINCT FROM p.due AND keys.type = p.type AND keys.k = p.cents // 100000""")
 def shared_row_members(spark: SparkSession, sf: str) -> DataFrame:
     """Which loans share a (due date, type, amount class): the long form of the copy screen."""
-    rows = TC.paid_rows(ledger(spark, sf).payments).filter("due_date IS NOT NULL").withColumn(
+    rows = TC.paid_rows(ledger(spark, sf).payments).withColumn(
         "thousands", F.floor(F.col("cents") / 100000))
     return TC.shared_row_members(rows, ["due_date", "type", "thousands"], "loan_id").withColumn(
         "due_date", iso("due_date"))
@@ -570,7 +570,7 @@ def benford_profile(spark: SparkSession, sf: str) -> DataFrame:
         big(F.round(F.col("m2") * 1000000)).alias("mad2"), digits.band(F.col("m2"), True).alias("band2"))
 
 
-@register("""WITH pc AS (SELECT event_type, CAST(round(value * 100) AS BIGINT) AS cents FROM events WHERE value >= 1),
+@register("""WITH pc AS (SELECT event_type, CAST(round(value * 100) AS BIGINT) AS cents FROM events),
 d AS (SELECT event_type, CAST(left(CAST(cents // 100 AS VARCHAR), 1) AS BIGINT) AS digit, count(*) AS n FROM pc WHERE cents >= 100
   GROUP BY 1, 2), t AS (SELECT event_type, sum(n) AS total FROM d GROUP BY 1)
 SELECT event_type, CAST(total AS BIGINT) AS amounts, CAST(round(avg(abs(coalesce(n, 0) / total::DOUBLE - log10(1 + 1.0::DOUBLE / f.digit)))
@@ -578,7 +578,7 @@ SELECT event_type, CAST(total AS BIGINT) AS amounts, CAST(round(avg(abs(coalesce
 GROUP BY event_type, total""")
 def benford_segments(spark: SparkSession, sf: str) -> DataFrame:
     """First-digit deviation per event type: all segments from one shuffle of at most 99 groups each."""
-    rows = _cents_of(D.table(spark, sf, "events").filter("value >= 1"), "value", F.col("event_type"))
+    rows = _cents_of(D.table(spark, sf, "events"), "value", F.col("event_type"))
     counts = digits.digit_counts(rows, "cents", ["event_type"])
     one = digits.deviation(counts, ["event_type"], "digit", 9, "m1")
     n = counts.groupBy("event_type").agg(F.sum("n").alias("amounts"))
@@ -944,9 +944,8 @@ def batch_merge_check(spark: SparkSession, sf: str) -> DataFrame:
         (stop - F.col("b") * F.col("w") + F.when(F.col("b") == 2, 5).otherwise(0)
          - F.when(F.col("b") == 1, 1).otherwise(0)).alias("rows_read"),
         F.lit(POLICY.digest()).alias("policy_digest"))
-    bounds = cuts.select(F.col("b").alias("batch_index"), (F.col("b") * F.col("w")).alias("lo"), stop.alias("hi"))
-    rows = orders.filter("source_row_index % 13 <> 0").join(
-        F.broadcast(bounds), (F.col("source_row_index") >= F.col("lo")) & (F.col("source_row_index") < F.col("hi")))
+    width = (top.first()["top"] + 4) // 4
+    rows = orders.filter("source_row_index % 13 <> 0").withColumn("batch_index", F.floor(F.col("source_row_index") / width).cast("int"))
     return rollups.batch_merge_check(batches, rows.select("batch_index", "source_row_index")).select(
         "problem", big("n").alias("n"))
 

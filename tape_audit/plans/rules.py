@@ -39,15 +39,15 @@ class Check:
     evidence: dict[str, Column] = field(default_factory=dict)
 
 
-# Messages that must not repeat source content once they leave the audit.
+#: What is told in public where the full message quotes the loan's own values.
 FIXED_MESSAGES = {
-    "A6": "categorical fields hold missing, unknown or untranslated values",
-    "A7": "payment history is empty or unreadable; see the source",
-    "A9": "payment records hold malformed fields; see the source",
-    "A10": "payment history holds records of another loan",
-    "H3": "monthly payment exceeds the configured share of income",
-    "H4": "borrower fields are inconsistent",
-    "H10": "employment and income fields need review",
+    "A6": "at least one category is absent or not in the dictionary",
+    "A7": "no payment history to check against",
+    "A9": "some payment records could not be typed",
+    "A10": "a payment record names a different loan number",
+    "H3": "the instalment is high for the income on file",
+    "H4": "company and person fields contradict each other",
+    "H10": "work status and income do not fit together",
 }
 
 PARTS = ("main", "calendar", "claims", "accrual", "rates", "profile", "tail")

@@ -78,10 +78,12 @@ def shared_rows(df: DataFrame, cols: list[str], owner: str) -> DataFrame:
 
 
 def shared_row_members(df: DataFrame, cols: list[str], owner: str) -> DataFrame:
-    """Long form: every (row value, owner) pair of the shared rows, so no owner list is ever gathered."""
+    """Long form: every (row value, owner) pair of the shared rows, so no owner list is ever gathered. NULL in a
+    column is a value like any other."""
     pairs = df.select(*cols, owner).distinct()
-    shared = shared_rows(df, cols, owner).select(*cols)
-    return pairs.join(shared, cols, "left_semi")
+    shared = shared_rows(df, cols, owner).select(*(F.col(c).alias(f"_{c}") for c in cols))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols]
+    return pairs.join(shared, same, "left_semi")
 
 
 def round_share(df: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tape_audit.config import Policy
-from tape_audit.plans.ledger import TapeRejectedError, check_schema, with_row_index
+from tape_audit.plans.ledger import TapeRefusedError, check_schema, with_row_index
 
 
-class TapeReadError(ValueError):
+class SourceError(ValueError):
     """The source is missing, empty or of an unknown format."""
 
 
@@ -22,7 +22,7 @@ def format_of(path: str) -> str:
     for suffix, fmt in FORMATS.items():
         if path.lower().rstrip("/").endswith(suffix):
             return fmt
-    raise TapeReadError(f"unsupported file type: {path}")
+    raise SourceError(f"unsupported file type: {path}")
 
 
 def clean_headers(names: list[str]) -> list[str]:
@@ -34,7 +34,7 @@ def _csv_header(spark: SparkSession, path: str) -> list[str]:
     """The header as written, so that duplicate names stay visible: one record of the file."""
     row = spark.read.csv(path, header=False, inferSchema=False, multiLine=True, quote='"', escape='"').first()
     if row is None:
-        raise TapeReadError("the tape contains no rows")
+        raise SourceError("the tape contains no rows")
     return clean_headers([v or "" for v in row])
 
 
@@ -51,7 +51,7 @@ def read_tape(spark: SparkSession, path: str, fmt: str | None = None, *,
         names = _csv_header(spark, path)
         repeated = sorted({n for n in names if names.count(n) > 1 and not n.startswith("Unnamed")})
         if repeated:
-            raise TapeRejectedError(f"tape rejected: duplicate headers {repeated}")
+            raise TapeRefusedError(f"tape rejected: duplicate headers {repeated}")
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         df = spark.read.schema(schema).csv(
             path, header=True, multiLine=True, quote='"', escape='"', enforceSchema=True)
@@ -64,10 +64,10 @@ def read_tape(spark: SparkSession, path: str, fmt: str | None = None, *,
         df = spark.read.parquet(path)
         df = df.toDF(*clean_headers(df.columns))
     else:
-        raise TapeReadError(f"unsupported format {fmt!r}")
+        raise SourceError(f"unsupported format {fmt!r}")
     df = df.select(*[F.col(f"`{c}`") for c in df.columns if not c.startswith("Unnamed")])
     if df.isEmpty():
-        raise TapeReadError("the tape contains no rows")
+        raise SourceError("the tape contains no rows")
     return df
 
 
@@ -96,7 +96,7 @@ def file_digest(spark: SparkSession, path: str) -> str:
     """Digest of one file's bytes, for tapes that arrive as single files."""
     row = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("d")).first()
     if row is None:
-        raise TapeReadError(f"input file not found: {path}")
+        raise SourceError(f"input file not found: {path}")
     return row.d
 
 
@@ -112,6 +112,6 @@ def load_tape(spark: SparkSession, path: str, fmt: str | None = None, policy: Po
     df = read_tape(spark, path, fmt)
     schema = check_schema(df.columns, policy.dictionary)
     if not schema.ok:
-        raise TapeRejectedError(f"tape rejected: required columns absent {list(schema.required_missing)}")
+        raise TapeRefusedError(f"tape rejected: required columns absent {list(schema.required_missing)}")
     digest = digest or content_digest(df)
     return with_row_index(df).withColumn("tape_id", F.lit(digest[:12]))

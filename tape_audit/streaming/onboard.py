@@ -20,6 +20,7 @@ from tape_audit.operators.staging import stage
 from tape_audit.plans.audit import audit, run_id, write_audit
 from tape_audit.plans.ledger import with_row_index
 from tape_audit.sources.reader import content_digest
+from tape_audit.sources.sinks import publish_table
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -49,7 +50,7 @@ def audit_batch(rows: DataFrame, folder: str, policy: Policy) -> str | None:
     result = audit(raw, policy, digest)
     meta = result.tables.pop("run")
     write_audit(result, folder)
-    meta.write.mode("append").parquet(f"{folder}/run")
+    publish_table(meta, f"{folder}/run", result.tape_id)
     return run
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import pytest
 
 from tape_audit.config import Policy
-from tape_audit.plans.ledger import TapeRejectedError, check_schema
+from tape_audit.plans.ledger import TapeRefusedError, check_schema
 from tape_audit.sources import reader
 from tape_audit.streaming.onboard import audit_batch
 
@@ -155,7 +156,7 @@ def test_tables_are_consistent(spark, published):
     cases, folder, _, _ = published
     payments = spark.read.parquet(f"{folder}/payments")
     coverage = spark.read.parquet(f"{folder}/coverage")
-    assert coverage.count() == len(cases) and len(coverage.columns) == 59
+    assert coverage.count() == len(cases) and len(coverage.columns) == 61
     assert payments.groupBy("tape_id", "source_row_index", "payment_seq").count().filter("count > 1").isEmpty()
     assert payments.count() == coverage.agg({"records_parsed": "sum"}).first()[0]
     one = payments.filter("loan_id = 1 AND type = 'interest'").orderBy("payment_seq").collect()
@@ -171,13 +172,13 @@ def test_tables_are_consistent(spark, published):
 def test_schema_faults_reject(spark, tmp_path):
     bad = tmp_path / "t.csv"
     bad.write_text("Loan ID, Loan ID,x\n1,2,3\n")
-    with pytest.raises(TapeRejectedError):
+    with pytest.raises(TapeRefusedError):
         reader.read_tape(spark, str(bad))
     empty = tmp_path / "e.csv"
     empty.write_text("Loan ID,x\n")
-    with pytest.raises(reader.TapeReadError):
+    with pytest.raises(reader.SourceError):
         reader.read_tape(spark, str(empty))
-    with pytest.raises(reader.TapeReadError):
+    with pytest.raises(reader.SourceError):
         reader.format_of("tape.xlsx")
     good = tmp_path / "g.csv"
     good.write_text(' Loan ID ,,note\n1,x,"two\nlines"\n2,y,NA\n')
@@ -185,3 +186,21 @@ def test_schema_faults_reject(spark, tmp_path):
     assert df.columns == ["Loan ID", "note"] and df.count() == 2
     assert {r.note for r in df.collect()} == {"two\nlines", "NA"}
     assert not check_schema(["Loan ID"]).ok
+
+
+def test_second_tape_leaves_the_first_alone(spark, published, tmp_path):
+    cases, folder, first, _ = published
+    names = sorted(os.listdir(folder))
+    before = {n: {t: sorted(map(str, spark.read.parquet(f"{folder}/{n}/{t}").collect())) for t in os.listdir(f"{folder}/{n}") if t.startswith("tape=")} for n in names}
+    path = tmp_path / "b.jsonl"
+    path.write_text("".join(json.dumps({**clean_loan(i), "payments": repr(clean_loan(i)["payments"])}) + "\n" for i in (700, 701)))
+    second = audit_batch(reader.read_tape(spark, str(path)), folder, Policy(as_of=AS_OF))
+    assert second and second != first and sorted(os.listdir(folder)) == names
+    for n in names:
+        table = spark.read.parquet(f"{folder}/{n}")
+        assert {"tape_id", "run_id"} <= set(table.columns)
+        assert {r.run_id for r in table.select("run_id").distinct().collect()} <= {first, second}
+        for tape, rows in before[n].items():
+            assert sorted(map(str, spark.read.parquet(f"{folder}/{n}/{tape}").collect())) == rows
+    results = spark.read.parquet(f"{folder}/loan_results")
+    assert not {"findings", "outcomes"} & set(results.columns) and results.filter("loan_id in (700, 701)").count() == 2

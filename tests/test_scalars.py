@@ -7,10 +7,12 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tape_audit.config import ConfigError, Policy
+from tape_audit.config import Policy, PolicyError
 from tape_audit.functions import irr
 from tape_audit.functions import normalize as N
 from tape_audit.operators import diary
+from tape_audit.plans import tape_checks as TC
+from tape_audit.plans.ledger import with_row_index
 
 NUMBERS = [
     ("1.5", 1.5, None), ("1.234,56", 1234.56, None), ("1,234.56", 1234.56, None), ("1 234,5", 1234.5, None),
@@ -89,12 +91,46 @@ def test_irr_known_answers(spark):
 
 
 def test_policy_is_strict():
-    with pytest.raises(ConfigError):
+    with pytest.raises(PolicyError):
         Policy.from_dict({"lateness": {"grace_days": 40}})
-    with pytest.raises(ConfigError):
+    with pytest.raises(PolicyError):
         Policy.from_dict({"latency": {}})
-    with pytest.raises(ConfigError):
+    with pytest.raises(PolicyError):
         Policy.from_dict({"tape": {"cell_limit": True}})
-    with pytest.raises(ConfigError):
+    with pytest.raises(PolicyError):
         Policy(disabled_rules=("Z9",))
     assert Policy.from_dict({"as_of": "2024-01-31"}).digest() != Policy().digest()
+
+
+def test_exact_integers_and_identifiers(spark):
+    cells = ["1e-7", "1.0000001e0", "1.5e1", "12e2", "0e-9", "1e30", "120e-1", "121e-1", "1.0000001E7", "7.0"]
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, c string")
+    ints = N.type_columns(rows, {"v": ("int", F.col("c"))}, ["i"]).orderBy("i").select("v.*").collect()
+    assert [r.value for r in ints] == [None, None, 15, 1200, 0, None, 12, None, 10000001, 7]
+    assert [r.error for r in ints] == ["not an integer", "not an integer", None, None, None, "integer outside supported range",
+                                       None, "not an integer", None, None]
+    doubles = spark.createDataFrame([(1, 10000001.0), (2, 12.0), (3, 1.5)], "i int, c double")
+    ids = N.type_columns(doubles, {"v": ("id", F.col("c"))}, ["i"]).orderBy("i").select("v.*").collect()
+    assert [(r.value, r.text) for r in ids] == [(10000001, "10000001"), (12, "12"), (None, "1.5")]
+
+
+def test_literal_dialect(spark):
+    cells = ["[{'a': 1}]\n", "\t[{'a': 1}]\t", "\n[{'a': 1},]", "[{'a': 1., 'b': +1}]", "[{'a':   None , 'b': .5,}]", "[{'a': 'x, y'}]"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, payments string")
+    rows = diary.parse_nested(df, "payments").orderBy("i").collect()
+    assert all(r.diary_error is None and not r.diary_truncated and r.dropped_tail_chars == 0 and len(r.records) == 1 for r in rows)
+    assert "null" in rows[4].records[0] and "0.5" in rows[4].records[0] and "1.0" in rows[3].records[0]
+
+
+def test_shared_rows_with_nulls_name_their_members(spark):
+    rows = spark.createDataFrame([(1, None, 5), (2, None, 5), (3, "d", 5), (3, "d", 5)], "loan int, due string, cents int")
+    assert TC.shared_rows(rows, ["due", "cents"], "loan").count() == 1
+    assert sorted(r.loan for r in TC.shared_row_members(rows, ["due", "cents"], "loan").collect()) == [1, 2]
+
+
+def test_row_index_stays_in_the_jvm(spark, tmp_path):
+    spark.range(0, 1000, 1, 1).write.csv(f"{tmp_path}/t")
+    df = with_row_index(spark.read.option("maxPartitionBytes", 500).csv(f"{tmp_path}/t"))
+    assert sorted(r.source_row_index for r in df.collect()) == list(range(1000))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ExistingRDD" not in plan
