@@ -8,6 +8,8 @@ Catalyst does not inline a non-trivial expression into a projection that uses it
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,32 +97,36 @@ def float_value(n: Column) -> Column:
     )
 
 
-def scientific_whole(text: Column) -> tuple[Column, Column]:
-    """(is whole, digits) of a number in exponent notation, decided on its digits, so that nothing is rounded. The
-    digits are NULL where they would be more than a long can hold."""
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that it reads several times. A lambda binds it once and is not inlined into the generated
+    code, which suits rare cases."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def scientific_digits(text: Column) -> Column:
+    """Digits of a whole number in exponent notation, decided on what is written, so that nothing is rounded: NULL if
+    it is not whole, and "" if it has more digits than a long."""
     part = lambda i: F.regexp_extract(text, r"^([+-]?)(\d*)\.?(\d*)[eE]([+-]?\d+)$", i)
-    digits = F.concat(part(2), part(3))
-    significant = F.regexp_replace(digits, "0+$", "")
-    power = part(4).try_cast("int") - F.length(part(3)) + F.length(digits) - F.length(significant)
-    zero = F.regexp_replace(digits, "0", "") == ""
-    return zero | (power >= 0), F.when(zero, F.lit("0")).when(
-        power.between(0, 19), F.concat(part(1), significant, F.repeat(F.lit("0"), power)))
+    parts = F.struct(part(1).alias("sign"), F.concat(part(2), part(3)).alias("digits"),
+                     (part(4).try_cast("int") - F.length(part(3))).alias("power"))
+
+    def digits(p: Column) -> Column:
+        kept = F.regexp_replace(p["digits"], "0+$", "")
+        power = p["power"] + F.length(p["digits"]) - F.length(kept)
+        return F.when(kept == "", F.lit("0")).when(power.between(0, 19), F.concat(p["sign"], kept, F.repeat(F.lit("0"), power))).when(
+            power > 19, F.lit(""))
+
+    return _let(parts, digits)
 
 
 def int_value(n: Column) -> Column:
     """``struct<value bigint, error>`` without a detour through double."""
     text = n["text"]
-    whole, digits = scientific_whole(text)
-    exponent = text.rlike("[eE]") & whole
-    value = F.when(
-        text.rlike(_WHOLE_NUMBER), F.regexp_replace(text, r"\.0*$", "").try_cast("bigint")
-    ).when(exponent, digits.try_cast("bigint"))
-    error = F.when(
-        text.isNotNull() & value.isNull(),
-        F.when(text.rlike(_WHOLE_NUMBER) | F.coalesce(exponent, F.lit(False)),
-               F.lit("integer outside supported range"))
-        .otherwise(F.lit("not an integer")),
-    )
+    plain = F.when(text.rlike("[eE]"), scientific_digits(text)).when(text.rlike(_WHOLE_NUMBER), F.regexp_replace(text, r"\.0*$", ""))
+    value = plain.try_cast("bigint")
+    error = F.when(text.isNotNull() & value.isNull(), F.when(
+        text.rlike(_WHOLE_NUMBER) | text.rlike("[eE]") & scientific_digits(text).isNotNull(),
+        F.lit("integer outside supported range")).otherwise(F.lit("not an integer")))
     return F.struct(value.alias("value"), F.coalesce(n["error"], error).alias("error"))
 
 
@@ -168,9 +174,8 @@ def typed_date(c: Column, kind: str) -> Column:
 def identifier_value(t: Column) -> Column:
     """``struct<value bigint, text>``: integer reading if there is one, and the trimmed text. Whole numbers in exponent
     notation, as doubles of ten million and more are printed, count as what they stand for."""
-    whole, digits = scientific_whole(t)
-    text = F.when(t.rlike(r"^[+-]?\d+(\.\d*)?[eE][+-]?\d+$") & whole & digits.isNotNull(), digits).otherwise(
-        F.regexp_replace(t, r"\.0$", ""))
+    exponent = F.when(t.rlike(r"^[+-]?\d+(\.\d*)?[eE][+-]?\d+$"), F.nullif(scientific_digits(t), F.lit("")))
+    text = F.coalesce(exponent, F.regexp_replace(t, r"\.0$", ""))
     return F.struct(
         F.when(~is_missing(t) & text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint")).alias("value"),
         F.when(~is_missing(t), text).otherwise(F.lit("")).alias("text"),
