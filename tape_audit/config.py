@@ -10,9 +10,11 @@ import hashlib
 import json
 import math
 import re
-from dataclasses import asdict, dataclass, field, fields, is_dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 from datetime import date
-from typing import Any
+from operator import le, lt
+from typing import Any, NamedTuple
 
 
 class PolicyError(ValueError):
@@ -39,181 +41,189 @@ SEVERITIES = ("info", "low", "medium", "high", "critical")
 PURPOSE_CODE = r"^loan_purpose\.\d+$"
 
 
-def _require(ok: bool, text: str) -> None:
-    if not ok:
-        raise PolicyError(text)
-
-
-def _share(name: str, value: float) -> None:
-    _require(0.0 <= value <= 1.0, f"{name} must lie within 0..1")
-
-
-@dataclass(frozen=True)
-class Lateness:
-    default_days: int = 90
-    medium_days: int = 30
-    watch_flag_days: int = 60
-    grace_days: int = 5
-    habitual_late_share: float = 0.5
-    trend_min_paid: int = 6
-    drift_recent_episodes: int = 3
-    drift_min_exceeding: int = 2
-
-    def __post_init__(self) -> None:
-        _require(
-            0 <= self.grace_days < self.medium_days <= self.watch_flag_days < self.default_days,
-            "lateness bands must grow: grace < medium <= watch < default",
-        )
-        _share("habitual_late_share", self.habitual_late_share)
-        _require(self.trend_min_paid >= 2, "trend_min_paid must be at least 2")
-        _require(
-            1 <= self.drift_min_exceeding <= self.drift_recent_episodes,
-            "drift_min_exceeding must fit into drift_recent_episodes",
-        )
-
-
-@dataclass(frozen=True)
-class Tolerance:
-    amount_eur: float = 0.50
-    principal_gap_material_share: float = 0.10
-    interest_eur: float = 1.00
-    days_late_days: int = 5
-    instalment_interest_rel: float = 0.15
-    instalment_interest_eur: float = 0.50
-    schedule_gap_days: int = 45
-    schedule_min_gap_days: int = 20
-    expected_repayment_days: int = 45
-    repayment_date_slack_days: int = 3
-    grace_state_days: int = 15
-    as_of_isolated_days: int = 45
+class Setting(NamedTuple):
+    """One row of the policy's table: the type of the default is the type of the setting."""
+
+    default: Any
+    low: float | None = 0
+    high: float | None = None
+    unit: str = ""
+
+
+def _days(n: int, low: int = 0) -> Setting:
+    return Setting(n, low, None, "days")
+
+
+def _count(n: int, low: int = 1) -> Setting:
+    return Setting(n, low)
+
+
+def _share(x: float) -> Setting:
+    return Setting(x, 0, 1, "share")
+
+
+def _euros(x: float) -> Setting:
+    return Setting(x, 0, None, "EUR")
+
+
+# Defaults of every threshold, with their bounds.
+SETTINGS: dict[str, dict[str, Setting]] = {
+    "lateness": {
+        "grace_days": _days(5), "medium_days": _days(30), "watch_flag_days": _days(60), "default_days": _days(90),
+        "habitual_late_share": _share(0.5), "trend_min_paid": _count(6, 2),
+        "drift_min_exceeding": _count(2), "drift_recent_episodes": _count(3),
+    },
+    "tolerance": {
+        "amount_eur": _euros(0.50), "interest_eur": _euros(1.00), "instalment_interest_eur": _euros(0.50),
+        "instalment_interest_rel": _share(0.15), "principal_gap_material_share": _share(0.10),
+        "schedule_min_gap_days": _days(20), "schedule_gap_days": _days(45), "expected_repayment_days": _days(45),
+        "repayment_date_slack_days": _days(3), "grace_state_days": _days(15), "days_late_days": _days(5), "as_of_isolated_days": _days(45),
+    },
+    "irr": {
+        "low_rate_floor": Setting(-0.99, None), "high_rate_ceiling": Setting(10.0, None), "min_inflows": _count(3),
+        "min_realised_interest_share": _share(0.10), "gap_relative": _share(0.40), "gap_percentage_points": Setting(5.0, 0, None, "points"),
+    },
+    "plausibility": {
+        "min_age": _count(18, 0), "max_age": _count(100, 0), "min_term_months": _count(1), "max_term_months": _count(360),
+        "min_interest_rate": Setting(0.0), "max_interest_rate": Setting(100.0), "max_payment_to_income": Setting(1.0),
+    },
+    "tape": {
+        "cell_limit": _count(32767), "circuit_breaker_share": _share(0.40), "duplicate_amount_floor_eur": _euros(50.0),
+        "benford_min_sample": _count(500), "benford_min_loans": _count(200), "benford_max_mad": _share(0.015),
+        "round_min_sample": _count(100), "round_share_max": _share(0.10), "round_min_days_late": _days(30, 1),
+    },
+    "dictionary": {
+        "required_columns": Setting(REQUIRED_COLUMNS, 1), "optional_columns": Setting(OPTIONAL_COLUMNS), "loan_status_values": Setting(LOAN_STATUSES, 1),
+        "loan_type_values": Setting(LOAN_TYPES, 1), "borrower_type_values": Setting(BORROWER_TYPES, 1), "credit_score_values": Setting(CREDIT_SCORES, 1),
+        "purpose_code_pattern": Setting(PURPOSE_CODE, None),
+    },
+}
 
-    def __post_init__(self) -> None:
-        for f in fields(self):
-            _require(getattr(self, f.name) >= 0, f"{f.name} must not be negative")
-        _share("principal_gap_material_share", self.principal_gap_material_share)
-        _share("instalment_interest_rel", self.instalment_interest_rel)
-        _require(
-            self.schedule_min_gap_days < self.schedule_gap_days,
-            "schedule_min_gap_days must stay below schedule_gap_days",
-        )
+#: Settings of a section, or numbers, that must stand in this order.
+ORDER = (
+    ("lateness", "grace_days < medium_days <= watch_flag_days < default_days"),
+    ("lateness", "drift_min_exceeding <= drift_recent_episodes"),
+    ("tolerance", "schedule_min_gap_days < schedule_gap_days"),
+    ("irr", "-1.0 < low_rate_floor < high_rate_ceiling"),
+    ("plausibility", "min_age <= max_age"),
+    ("plausibility", "min_interest_rate <= max_interest_rate"),
+    ("plausibility", "min_term_months <= max_term_months"),
+)
 
 
-@dataclass(frozen=True)
-class Irr:
-    min_inflows: int = 3
-    min_realised_interest_share: float = 0.10
-    gap_percentage_points: float = 5.0
-    gap_relative: float = 0.40
-    low_rate_floor: float = -0.99
-    high_rate_ceiling: float = 10.0
+class Section:
+    """Values of one group of settings, read as attributes."""
 
-    def __post_init__(self) -> None:
-        _require(self.min_inflows >= 1, "min_inflows must be positive")
-        _share("min_realised_interest_share", self.min_realised_interest_share)
-        _share("gap_relative", self.gap_relative)
-        _require(self.gap_percentage_points >= 0, "gap_percentage_points must not be negative")
-        _require(
-            -1.0 < self.low_rate_floor < self.high_rate_ceiling,
-            "the rate bracket must be ordered and start above -100 %",
-        )
+    def __init__(self, values: Mapping[str, Any]) -> None:
+        object.__setattr__(self, "_values", dict(values))
 
+    def __getattr__(self, name: str) -> Any:
+        if name.startswith("_") or name not in self._values:
+            raise AttributeError(name)
+        return self._values[name]
 
-@dataclass(frozen=True)
-class Plausibility:
-    min_age: int = 18
-    max_age: int = 100
-    min_interest_rate: float = 0.0
-    max_interest_rate: float = 100.0
-    min_term_months: int = 1
-    max_term_months: int = 360
-    max_payment_to_income: float = 1.0
+    def __setattr__(self, name: str, value: Any) -> None:
+        raise AttributeError("a policy does not change")
 
-    def __post_init__(self) -> None:
-        _require(0 <= self.min_age <= self.max_age, "age bounds must be ordered")
-        _require(0 <= self.min_interest_rate <= self.max_interest_rate, "rate bounds must be ordered")
-        _require(1 <= self.min_term_months <= self.max_term_months, "term bounds must be ordered")
-        _require(self.max_payment_to_income >= 0, "max_payment_to_income must not be negative")
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Section) and self._values == other._values
 
+    def __hash__(self) -> int:
+        return hash(tuple(sorted(self._values.items())))
 
-@dataclass(frozen=True)
-class Tape:
-    circuit_breaker_share: float = 0.40
-    cell_limit: int = 32767
-    benford_min_sample: int = 500
-    benford_min_loans: int = 200
-    benford_max_mad: float = 0.015
-    duplicate_amount_floor_eur: float = 50.0
-    round_min_sample: int = 100
-    round_share_max: float = 0.10
-    round_min_days_late: int = 30
+    def as_dict(self) -> dict[str, Any]:
+        return dict(self._values)
 
-    def __post_init__(self) -> None:
-        for name in ("circuit_breaker_share", "benford_max_mad", "round_share_max"):
-            _share(name, getattr(self, name))
-        for name in ("cell_limit", "benford_min_sample", "benford_min_loans",
-                     "round_min_sample", "round_min_days_late"):
-            _require(getattr(self, name) >= 1, f"{name} must be positive")
-        _require(self.duplicate_amount_floor_eur >= 0, "duplicate_amount_floor_eur must not be negative")
 
+def _refuse(unless: bool, text: str) -> None:
+    if not unless:
+        raise PolicyError(text)
 
-@dataclass(frozen=True)
-class Dictionary:
-    required_columns: tuple[str, ...] = REQUIRED_COLUMNS
-    optional_columns: tuple[str, ...] = OPTIONAL_COLUMNS
-    loan_status_values: tuple[str, ...] = LOAN_STATUSES
-    loan_type_values: tuple[str, ...] = LOAN_TYPES
-    borrower_type_values: tuple[str, ...] = BORROWER_TYPES
-    credit_score_values: tuple[str, ...] = CREDIT_SCORES
-    purpose_code_pattern: str = PURPOSE_CODE
 
-    def __post_init__(self) -> None:
-        for f in fields(self):
-            value = getattr(self, f.name)
-            if isinstance(value, str):
-                continue
-            value = tuple(value)
-            object.__setattr__(self, f.name, value)
-            _require(bool(value) or f.name == "optional_columns", f"{f.name} must not be empty")
-            _require(all(v.strip() for v in value), f"{f.name} must hold nonblank names")
-            _require(len(set(value)) == len(value), f"{f.name} must hold unique names")
-        _require(
-            not set(self.required_columns) & set(self.optional_columns),
-            "a column cannot be both required and optional",
-        )
-        try:
-            re.compile(self.purpose_code_pattern)
-        except re.error as exc:
-            raise PolicyError("purpose_code_pattern is not a regular expression") from exc
+def _read(where: str, value: Any, setting: Setting) -> Any:
+    """A value of the setting's type and within its bounds; for names, the bounds are of their number."""
+    kind = type(setting.default)
+    if kind is tuple:
+        _refuse(isinstance(value, (list, tuple)) and all(isinstance(v, str) and v.strip() for v in value), f"{where}: a list of nonblank names is needed")
+        _refuse(len(set(value)) == len(value), f"{where}: a name stands twice")
+        _refuse(len(value) >= setting.low, f"{where}: at least {setting.low} names are needed")
+        return tuple(value)
+    if kind is str:
+        _refuse(isinstance(value, str), f"{where}: a text is needed")
+        return value
+    number = isinstance(value, int if kind is int else (int, float)) and not isinstance(value, bool)
+    _refuse(number and math.isfinite(value), f"{where}: a finite {'whole ' if kind is int else ''}number is needed")
+    _refuse((setting.low is None or value >= setting.low) and (setting.high is None or value <= setting.high),
+            f"{where}: {value} is outside {setting.low} to {setting.high} {setting.unit}".rstrip())
+    return kind(value)
+
+
+def section(name: str, given: Any = None) -> Section:
+    """The settings of a section: what is given, read strictly, over the defaults."""
+    given = {} if given is None else given
+    _refuse(isinstance(given, Mapping), f"{name}: a mapping is needed")
+    unknown = sorted(set(given) - set(SETTINGS[name]))
+    _refuse(not unknown, f"{name}: no setting is called {', '.join(map(str, unknown))}")
+    values = {key: _read(f"{name}.{key}", given.get(key, s.default), s) for key, s in SETTINGS[name].items()}
+    for own, chain in ORDER:
+        if own == name:
+            words = chain.split()
+            terms = [values[w] if w in values else float(w) for w in words[::2]]
+            held = all({"<": lt, "<=": le}[op](a, b) for a, op, b in zip(terms, words[1::2], terms[1:], strict=False))
+            _refuse(held, f"{name}: {chain} does not hold")
+    return Section(values)
 
 
 @dataclass(frozen=True)
 class Policy:
+    """All settings of an audit. Sections are attributes: ``policy.lateness.grace_days``."""
+
     lender: str = "default"
     as_of: date | None = None
-    lateness: Lateness = field(default_factory=Lateness)
-    tolerance: Tolerance = field(default_factory=Tolerance)
-    irr: Irr = field(default_factory=Irr)
-    plausibility: Plausibility = field(default_factory=Plausibility)
-    tape: Tape = field(default_factory=Tape)
-    dictionary: Dictionary = field(default_factory=Dictionary)
     flag_min_severity: str = "medium"
     disabled_rules: tuple[str, ...] = ()
     info_only_rules: tuple[str, ...] = ()
+    sections: Mapping[str, Section] = field(default_factory=lambda: {name: section(name) for name in SETTINGS}, hash=False)
 
     def __post_init__(self) -> None:
         from tape_audit.plans.catalog import RULE_IDS
 
-        _require(self.flag_min_severity in SEVERITIES, "unknown flag_min_severity")
+        _refuse(self.flag_min_severity in SEVERITIES, "flag_min_severity: no such severity")
         for name in ("disabled_rules", "info_only_rules"):
-            ids = tuple(getattr(self, name))
+            ids = _read(name, getattr(self, name), Setting(()))
+            _refuse(set(ids) <= set(RULE_IDS), f"{name}: there is no rule {', '.join(sorted(set(ids) - set(RULE_IDS)))}")
             object.__setattr__(self, name, ids)
-            _require(all(i in RULE_IDS for i in ids), f"{name} holds an unregistered rule id")
-            _require(len(set(ids)) == len(ids), f"{name} holds a rule id twice")
+        names = self.dictionary
+        both = sorted(set(names.required_columns) & set(names.optional_columns))
+        _refuse(not both, f"dictionary: {', '.join(both)} cannot be required and optional at once")
+        try:
+            re.compile(names.purpose_code_pattern)
+        except re.error as exc:
+            raise PolicyError("dictionary.purpose_code_pattern: not a regular expression") from exc
+
+    def __getattr__(self, name: str) -> Section:
+        if name.startswith("_") or name not in SETTINGS:
+            raise AttributeError(name)
+        return self.sections[name]
 
     @classmethod
-    def from_dict(cls, raw: dict[str, Any] | None) -> Policy:
+    def from_dict(cls, raw: Mapping[str, Any] | None) -> Policy:
         """Strict load: an unknown key, a wrong type or a non-finite number is an error."""
-        return _build(cls, raw or {}, "policy")
+        raw = {} if raw is None else raw
+        _refuse(isinstance(raw, Mapping), "policy: a mapping is needed")
+        own = {"lender", "as_of", "flag_min_severity", "disabled_rules", "info_only_rules"}
+        unknown = sorted(set(raw) - own - set(SETTINGS))
+        _refuse(not unknown, f"policy: no setting is called {', '.join(map(str, unknown))}")
+        values = {k: raw[k] for k in own & set(raw)}
+        for key in {"lender", "flag_min_severity"} & set(values):
+            _refuse(isinstance(values[key], str), f"{key}: a text is needed")
+        if isinstance(values.get("as_of"), str):
+            try:
+                values["as_of"] = date.fromisoformat(values["as_of"])
+            except ValueError as exc:
+                raise PolicyError("as_of: an ISO date is needed") from exc
+        _refuse(values.get("as_of") is None or isinstance(values["as_of"], date), "as_of: a date is needed")
+        return cls(**values, sections={name: section(name, raw.get(name)) for name in SETTINGS})
 
     @classmethod
     def load(cls, path: str | None) -> Policy:
@@ -223,48 +233,10 @@ class Policy:
             with open(path, encoding="utf-8") as fh:
                 raw = json.load(fh)
         except (OSError, ValueError) as exc:
-            raise PolicyError(f"could not load policy ({type(exc).__name__})") from exc
+            raise PolicyError(f"the policy file is not readable ({type(exc).__name__})") from exc
         return cls.from_dict(raw)
 
     def digest(self) -> str:
-        text = json.dumps(asdict(self), sort_keys=True, default=str)
+        plain = {n: getattr(self, n) for n in ("lender", "as_of", "flag_min_severity", "disabled_rules", "info_only_rules")}
+        text = json.dumps(plain | {n: s.as_dict() for n, s in self.sections.items()}, sort_keys=True, default=str)
         return hashlib.sha256(text.encode()).hexdigest()[:16]
-
-
-_NESTED = {
-    "lateness": Lateness, "tolerance": Tolerance, "irr": Irr,
-    "plausibility": Plausibility, "tape": Tape, "dictionary": Dictionary,
-}
-
-
-def _build(cls: type, raw: Any, where: str) -> Any:
-    _require(isinstance(raw, dict), f"{where} must be a mapping")
-    known = {f.name: f for f in fields(cls)}
-    values: dict[str, Any] = {}
-    for key, value in raw.items():
-        _require(key in known, f"{where}.{key} is not a setting")
-        default = getattr(cls(), key)
-        if is_dataclass(default):
-            value = _build(_NESTED[key], value, f"{where}.{key}")
-        elif isinstance(default, tuple):
-            _require(isinstance(value, (list, tuple)) and all(isinstance(v, str) for v in value),
-                     f"{where}.{key} must be a list of names")
-            value = tuple(value)
-        elif isinstance(default, int):
-            _require(isinstance(value, int) and not isinstance(value, bool),
-                     f"{where}.{key} must be an integer")
-        elif isinstance(default, float):
-            _require(isinstance(value, (int, float)) and not isinstance(value, bool)
-                     and math.isfinite(value), f"{where}.{key} must be a finite number")
-            value = float(value)
-        elif key == "as_of":
-            if isinstance(value, str):
-                try:
-                    value = date.fromisoformat(value)
-                except ValueError as exc:
-                    raise PolicyError(f"{where}.as_of must be an ISO date") from exc
-            _require(value is None or isinstance(value, date), f"{where}.as_of must be a date")
-        else:
-            _require(isinstance(value, str), f"{where}.{key} must be text")
-        values[key] = value
-    return cls(**values)

@@ -192,7 +192,7 @@ def _first_pass(kind: str, flag: Column, value: Column | None) -> Column:
     if kind == "n":
         return F.sum(F.when(flag, F.col("copies")).otherwise(F.lit(0).cast("bigint")))
     if kind == "sum":
-        return F.try_sum(F.when(flag, value * F.col("copies")).otherwise(F.lit(0).cast("bigint")))
+        return F.try_sum(F.when(flag, F.try_multiply(value, F.col("copies"))).otherwise(F.lit(0).cast("bigint")))
     return (F.max if kind == "max" else F.min)(F.when(flag, value))
 
 
@@ -263,7 +263,7 @@ def daily_reductions(payments: DataFrame) -> DataFrame:
     return (
         events.filter("e.day IS NOT NULL AND e.m IS NOT NULL AND e.m <> 0")
         .groupBy(*KEY, F.col("e.day").alias("day"))
-        .agg(F.try_sum(F.col("e.m") * F.col("copies")).alias("reduction"))
+        .agg(F.try_sum(F.try_multiply(F.col("e.m"), F.col("copies"))).alias("reduction"))
     )
 
 

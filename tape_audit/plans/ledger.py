@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tape_audit.config import Dictionary, Policy
+from tape_audit.config import Policy, Section, section
 from tape_audit.functions import normalize as N
 from tape_audit.operators import conventions as C
 from tape_audit.operators import diary
@@ -101,7 +101,7 @@ class Ledger:
         return replace(self, payments=C.add_subsets(tagged, self.as_of))
 
 
-def check_schema(columns: list[str], dictionary: Dictionary = Dictionary()) -> SchemaCheck:
+def check_schema(columns: list[str], dictionary: Section = section("dictionary")) -> SchemaCheck:
     present = [c.strip() for c in columns]
     known = set(dictionary.required_columns) | set(dictionary.optional_columns)
     return SchemaCheck(

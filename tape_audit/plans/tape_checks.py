@@ -175,14 +175,14 @@ def heaviest_digit(amounts: DataFrame) -> DataFrame:
     the lower digit and the earlier loan."""
     c = F.col
     per_loan = amounts.filter("cents >= 100").groupBy(
-        *KEY, "loan_id", digits.first_digit(c("cents")).alias("digit")).agg(F.sum("cents").alias("cents"))
+        *KEY, "loan_id", digits.first_digit(c("cents")).alias("digit")).agg(F.sum(c("cents").cast(digits.WIDE)).alias("cents"))
     per_digit = per_loan.groupBy("digit").agg(
         F.sum("cents").alias("digit_cents"),
         F.max(F.struct(c("cents"), (-c("source_row_index")).alias("pos"), c("loan_id"))).alias("top"))
     return per_digit.agg(
         F.max(F.struct(c("digit_cents"), (-c("digit")).alias("neg"), c("top.loan_id").alias("loan"))).alias("m"),
         F.sum("digit_cents").alias("all"),
-    ).select((-c("m.neg")).alias("heaviest_digit"), F.round(c("m.digit_cents") / c("all"), 3).alias("share"),
+    ).select((-c("m.neg")).alias("heaviest_digit"), F.round(c("m.digit_cents").cast("double") / c("all").cast("double"), 3).alias("share"),
              c("m.loan").alias("top_loan"))
 
 
