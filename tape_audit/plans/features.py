@@ -188,11 +188,19 @@ _EPISODES = {
 }
 
 
+def folded_sum(value: Column, flag: Column | None = None) -> Column:
+    """Sum of value times copies; nothing to add is 0, and NULL is a sum that a long cannot hold."""
+    wanted = value if flag is None else F.when(flag, value)
+    product = F.try_multiply(wanted, F.col("copies"))
+    whole = F.when(F.count(product) == 0, F.lit(0).cast("bigint")).otherwise(F.try_sum(product))
+    return F.when(F.count(wanted) == F.count(product), whole)
+
+
 def _first_pass(kind: str, flag: Column, value: Column | None) -> Column:
     if kind == "n":
         return F.sum(F.when(flag, F.col("copies")).otherwise(F.lit(0).cast("bigint")))
     if kind == "sum":
-        return F.try_sum(F.when(flag, F.try_multiply(value, F.col("copies"))).otherwise(F.lit(0).cast("bigint")))
+        return folded_sum(value, flag)
     return (F.max if kind == "max" else F.min)(F.when(flag, value))
 
 
@@ -263,21 +271,24 @@ def daily_reductions(payments: DataFrame) -> DataFrame:
     return (
         events.filter("e.day IS NOT NULL AND e.m IS NOT NULL AND e.m <> 0")
         .groupBy(*KEY, F.col("e.day").alias("day"))
-        .agg(F.try_sum(F.try_multiply(F.col("e.m"), F.col("copies"))).alias("reduction"))
+        .agg(folded_sum(F.col("e.m")).alias("reduction"))
     )
 
 
 def reduced_before(reductions: DataFrame, probes: DataFrame) -> DataFrame:
     """As-of lookup without a theta join: total reduction strictly before each (loan, day) of ``probes``.
-    Both sides are at day grain, so the running sum per loan is bounded by the calendar."""
+    Both sides are at day grain, so the running sum per loan is bounded by the calendar. A total that a long cannot
+    hold, or that follows a NULL reduction, is NULL."""
     both = reductions.select(*KEY, "day", "reduction", F.lit(False).alias("_probe")).unionByName(
         probes.select(*KEY, "day", F.lit(0).cast("bigint").alias("reduction"), F.lit(True).alias("_probe"))
     )
     merged = both.groupBy(*KEY, "day").agg(
-        F.try_sum("reduction").alias("reduction"), F.max("_probe").alias("_probe"))
+        F.try_sum("reduction").alias("reduction"), F.max("_probe").alias("_probe"),
+        F.max(F.col("reduction").isNull()).alias("_lost"))
     before = Window.partitionBy(*KEY).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        merged.withColumn("reduced", F.coalesce(F.try_sum("reduction").over(before), F.lit(0).cast("bigint")))
+        merged.withColumn("reduced", F.when(F.count("*").over(before) == 0, F.lit(0).cast("bigint"))
+                          .when(~F.max(F.col("_lost") | F.col("reduction").isNull()).over(before), F.try_sum("reduction").over(before)))
         .filter("_probe").select(*KEY, "day", "reduced")
     )
 
@@ -293,7 +304,7 @@ def interest_accrual(ledger: Ledger, policy: Policy) -> DataFrame:
     balances = reduced_before(daily_reductions(ledger.payments), rows.select(*KEY, "day").distinct())
     terms = ledger.loans.select(*KEY, "loan_amount", "interest_rate", "disbursal_date")
     expected = (
-        balances.join(terms, KEY)
+        balances.filter("reduced IS NOT NULL").join(terms, KEY)
         .withColumn("balance", F.greatest(c("loan_amount") - euros(c("reduced")), F.lit(0.0)))
         .withColumn("expected", c("balance") * (c("interest_rate") / 100.0 / 12.0))
     )

@@ -76,7 +76,9 @@ def assess(ledger: Ledger, policy: Policy = Policy(), parts: tuple[str, ...] = P
     for name in parts:
         wide = wide.join(build[name](), KEY, "left")
     zero = [n for n in wide.columns if (n[:2] in ("n_", "m_") and n != "n_records") or n in _COUNTS]
-    return wide.withColumns({n: F.coalesce(c(n), F.lit(0).cast("bigint")) for n in zero})
+    sums = [n for n, m in X._measures(policy, ledger.as_of).items() if m[0] == "sum"] if "main" in parts else []
+    absent = {n: c("n_regular").isNull() if n in sums else c(n).isNull() for n in zero}  # a NULL sum of a loan with records is beyond range
+    return wide.withColumns({n: F.when(absent[n], F.lit(0).cast("bigint")).otherwise(c(n)) for n in zero})
 
 
 def text(*parts: object) -> Column:
@@ -175,7 +177,7 @@ def _identity(policy: Policy, missing: frozenset[str], as_of: date) -> dict[str,
     whole = _diary_skips(True)
     amount = c("loan_amount")
     scheduled, settled = euros(c("m_schedule")), euros(c("m_settlement"))
-    total = euros(c("m_schedule") + c("m_settlement"))
+    total = euros(F.try_add("m_schedule", "m_settlement"))
     split = c("repaid_principal") + c("outstanding_principal")
     b1 = total - amount
     b2 = c("outstanding_principal") + c("repaid_principal") - amount
@@ -191,7 +193,8 @@ def _identity(policy: Policy, missing: frozenset[str], as_of: date) -> dict[str,
             F.abs(gap) > tol.interest_eur,
             text("payment records show ", eur_text(euros(c(measure))), " ", what, ", the summary ",
                  eur_text(summary)),
-            [*whole, (_absent(missing, rule_column), "column_absent", True)],
+            [*whole, (_absent(missing, rule_column), "column_absent", True),
+             (c(measure).isNull(), "sum_beyond_range", True)],
             evidence={"diary": money(euros(c(measure))), "summary": money(summary), "gap": money(gap)},
         )
 
@@ -207,7 +210,7 @@ def _identity(policy: Policy, missing: frozenset[str], as_of: date) -> dict[str,
             F.abs(b1) > tol.amount_eur,
             text("scheduled principal ", eur_text(scheduled), " plus settlements ", eur_text(settled),
                  " misses the loan amount ", eur_text(amount), " by ", eur_text(F.abs(b1))),
-            [*whole, (amount.isNull(), "loan_amount_missing", True)],
+            [*whole, (amount.isNull(), "loan_amount_missing", True), (total.isNull(), "sum_beyond_range", True)],
             severity=F.when(F.abs(b1) > tol.principal_gap_material_share * amount, "high")
             .when(split.isNull(), "low")
             .when(F.abs(split - total) <= tol.amount_eur, "low").otherwise("medium"),
@@ -226,7 +229,8 @@ def _identity(policy: Policy, missing: frozenset[str], as_of: date) -> dict[str,
             F.abs(b3) > tol.amount_eur,
             text("payment records show ", eur_text(euros(c("m_principal_paid"))),
                  " principal paid, the summary ", eur_text(c("repaid_principal"))),
-            [*whole, (c("repaid_principal").isNull(), "repaid_principal_missing", True)],
+            [*whole, (c("repaid_principal").isNull(), "repaid_principal_missing", True),
+             (c("m_principal_paid").isNull(), "sum_beyond_range", True)],
             evidence={"diary_paid_principal": money(euros(c("m_principal_paid"))),
                       "repaid_principal": money(c("repaid_principal")), "gap": money(b3)},
         ),
@@ -273,7 +277,7 @@ def _rate_check(policy: Policy, as_of: date) -> Check:
         F.when(~deferred, "high").when(settled.isNull(), "medium")
         .when(early & ~fell_due, "low").when(early, "medium").otherwise("high")
     )
-    principal_gap = euros(c("m_schedule") + c("m_settlement")) - c("loan_amount")
+    principal_gap = euros(F.try_add("m_schedule", "m_settlement")) - c("loan_amount")
     shortfall = (gap < 0) & (principal_gap < -tol.amount_eur)
     confidence = F.when(shortfall, "low").otherwise(trust)
     on_schedule = c("xirr_on_schedule") * 100.0
@@ -299,6 +303,7 @@ def _rate_check(policy: Policy, as_of: date) -> Check:
          (c("diary_truncated"), "diary_truncated", False),
          (live & F.coalesce(thin, F.lit(True)), "little_interest_realised", False),
          (live & c("outstanding_principal").isNull(), "no_terminal_value", False),
+         (_any_null("m_any_interest_paid") | F.try_add("m_schedule", "m_settlement").isNull(), "sum_beyond_range", True),
          (c("xirr").isNull(), "no_convergence", True)],
         severity=F.when(confidence == "low", "low")
         .when((F.abs(gap) > 2 * threshold) | nothing_paid, "high").otherwise("medium"),
@@ -444,7 +449,7 @@ def _lifecycle(policy: Policy, missing: frozenset[str]) -> dict[str, Check]:
     owes = F.coalesce(c("outstanding_principal") > tol.amount_eur, F.lit(False))
     flat = F.coalesce(F.abs("outstanding_principal") <= tol.amount_eur, F.lit(False))
     all_paid = usable & ~c("diary_truncated") & (c("n_open") == 0)
-    unresolved = euros(c("m_open") + c("m_claim"))
+    unresolved = euros(F.try_add("m_open", "m_claim"))
     bare = (c("n_termination") == 0) & (c("n_open") == 0)
     still_open = text(c("n_open"), " components on ", c("due_open"), " due dates, ",
                       eur_text(euros(c("m_open"))))
@@ -469,7 +474,7 @@ def _lifecycle(policy: Policy, missing: frozenset[str]) -> dict[str, Check]:
         "E3": Check(bare | (unresolved > tol.amount_eur),
                     F.when(bare, text("marked terminated without a termination record or open instalment"))
                     .otherwise(text("terminated with ", eur_text(unresolved), " unresolved")),
-                    [(~status("terminated"), "not_terminated", False), *diary],
+                    [(~status("terminated"), "not_terminated", False), *diary, (~bare & unresolved.isNull(), "sum_beyond_range", True)],
                     evidence={"loan_status": c("loan_status"), "unresolved_amount": money(unresolved),
                               "unpaid_components": c("n_open"), "pending_termination_rows": c("n_claim")}),
         "E4": Check((c("n_paid_undated") > 0) | (c("n_unpaid_dated") > 0),
