@@ -894,23 +894,29 @@ UNION ALL SELECT 'filled', 'payments', count(*) FILTER (WHERE o_orderkey % 71 <>
 UNION ALL SELECT 'filled', 'Family income', 0 UNION ALL SELECT 'filled', 'City', count(*) FROM orders"""
 
 
-@register(_PROFILE_SQL)
-def mergeable_profile(spark: SparkSession, sf: str) -> DataFrame:
-    """Counters measured per slice of the tape and merged: the same figures as one pass over all rows."""
-    raw = stage(D.raw_tape(spark, sf), "raw")
+def merged_profile(raw: DataFrame) -> DataFrame:
+    """The whole profile, measured per slice of the tape and merged."""
     parts = None
     for slice_ in range(3):
         piece = raw.filter(F.pmod("source_row_index", F.lit(3)) == slice_)
         led = build_ledger(piece, TAPE_POLICY, stager=lambda t: stage(t, "typed"))
         part = health.partial(piece, led.loans, led.payments, led.quarantine, TAPE_POLICY)
         parts = part if parts is None else parts.unionByName(part)
+    return health.combine(parts)
+
+
+@register(_PROFILE_SQL)
+def mergeable_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Counters measured per slice of the tape and merged: the same figures as one pass over all rows. The whole profile
+    is merged; the rows are those that the SQL names."""
+    merged = merged_profile(stage(D.raw_tape(spark, sf), "raw"))
     wanted = (("rows", ""), ("quarantined", ""), ("loans", ""), ("diary_unreadable", ""), ("diary_truncated", ""),
               ("untranslated", "Purpose"), ("outside_dictionary", "Credit score"), ("filled", "payments"),
               ("filled", "Family income"), ("filled", "City"))
     keep = F.lit(False)
     for m, col in wanted:
         keep = keep | ((F.col("metric") == m) & (F.col("column") == col))
-    return health.combine(parts.filter(keep)).select("metric", "column", "value")
+    return merged.filter(keep).select("metric", "column", "value")
 
 
 # ---- batches, accounting, outputs -----------------------------------------------------------------
