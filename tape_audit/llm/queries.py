@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tape_audit.llm import attribution, chat, decontamination, language, mixing, quality, sharding, simhash, token_files, topk
+from tape_audit.llm import attribution, chat, decontamination, language, mixing, packing, quality, sharding, simhash, token_files, topk
 
 TOKENIZER = "word_bpe_49k.json"  # of the public tokenizers installed beside the library
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -98,3 +98,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from labels outside the held-out fold."""
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their places in sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), by_word=True).drop("ids")

@@ -16,85 +16,115 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tape_audit.llm.buffers import raw_texts
 from tape_audit.llm.elias_fano import EliasFano
 from tape_audit.llm.plain_words import PlainWords
 from tape_audit.operators.staging import stage, staged_root
 
 MAGIC = b"TOKENEF1"
 END_ID = 1
-KNOWN_WORDS = 200_000  # entries of a task's memory of encoded words; beyond it the memory starts anew
-KNOWN_CHARS = 48  # longer words are encoded each time
+KNOWN_WORDS = 400_000  # entries of a task's memory of encoded words; beyond it the older half is forgotten
+#: A run of Latin letters that change case one by one, and the marks behind it.
+PLAIN = r"^[A-Za-zÀ-ÖØ-öø-įı-ɏ]{1,48}[!-/:-@\[-`{-~]*$"
+PARTED = r"^(?P<body>[^!-/:-@\[-`{-~]*)(?P<marks>.*)$"
+ENCODE_BYTES = 8_000_000  # of texts encoded at once, or one text
 READ_IDS = 4_000_000  # ids read at once, or one document
 
 
 class WordEncoder:
     """Ids of texts under a tokenizer that lower-cases and drops white space: it never joins characters over a blank or a
-    line end, so a text's ids are those of its words in order, and each word is encoded once."""
+    line end, so a text's ids are those of its words in order. A batch of texts is split at once, each distinct word of it
+    is encoded once, and the ids of all texts are gathered in one array. Words of Latin letters, marks behind them apart,
+    go to the tokenizer's model and are remembered; others go through the library's whole way."""
 
     def __init__(self, path: str, known: int = KNOWN_WORDS) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.plain = PlainWords(self.tokenizer)
         self.type = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.limit = known
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
 
     def _encode(self, words: list[str]) -> Iterator[bytes]:
         for got in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
             yield array(self.type, got.ids).tobytes()
 
-    def _body(self, word: str) -> bytes:
-        found = self.known.get(word)
-        if found is None:
-            found = self.known[word] = array(self.type, [t.id for t in self.plain.tokens(word)]).tobytes()
-        return found
-
-    def _learn(self, words: set[str]) -> None:
-        odd = []
+    def _bodies(self, words: list[str]) -> list[bytes]:
+        known, tokens = self.known, self.plain.tokens
         for word in words:
-            low = word.lower()
-            parted = self.plain.parted(low)
-            if parted is None:
-                odd.append(word)
-            else:
-                self.known[word] = self._body(parted[0]) + self._marks(parted[1])
-        if odd:
-            self.known.update(zip(odd, self._encode(odd), strict=True))
-
-    def _marks(self, run: str) -> bytes:
-        if run not in self.known:
-            self.known[run] = next(self._encode([run]))
-        return self.known[run]
-
-    def ids(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        new = set(words).difference(self.known)
-        if new:
-            self._learn(new)
-        out = b"".join(map(self.known.__getitem__, words))
-        if len(self.known) > self.limit:
-            self.known = {"": b""}
-        elif new:
-            for word in [w for w in new if len(w) > KNOWN_CHARS]:
-                self.known.pop(word, None)
-                self.known.pop(word.lower(), None)
+            if word not in known:
+                known[word] = array(self.type, [t.id for t in tokens(word)]).tobytes()
+        out = [known[word] for word in words]
+        if len(known) > self.limit:
+            self.known = dict(islice(known.items(), len(known) // 2, None))
         return out
 
+    def _flat(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // array(self.type).itemsize
+        return np.frombuffer(b"".join(parts), self.type), sizes
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has: two parts of every word, the second may be empty."""
+        plain = pc.match_substring_regex(words, PLAIN)
+        parts = pc.extract_regex(pc.utf8_lower(words.filter(plain)), PARTED)
+        body, tail = (parts.field(i).dictionary_encode() for i in (0, 1))
+        odd = list(self._encode(words.filter(pc.invert(plain)).to_pylist()))
+        known = [b"", *odd, *self._encode(tail.dictionary.to_pylist())]
+        first, plain = len(known), plain.to_numpy(zero_copy_only=False)
+        places = np.zeros((len(words), 2), np.int64)
+        places[~plain, 0] = 1 + np.arange(len(odd))
+        places[plain, 0], places[plain, 1] = first + body.indices.to_numpy(), 1 + len(odd) + tail.indices.to_numpy()
+        ids, counts = gathered(*self._flat(known + self._bodies(body.dictionary.to_pylist())), places.ravel())
+        return ids, counts.reshape(-1, 2).sum(axis=1)
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other (a null has none), and how many each text has."""
+        parts = pc.split_pattern(pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " "), " ")
+        words = parts.flatten().dictionary_encode()
+        ids, counts = gathered(*self._words(words.dictionary), words.indices.to_numpy())
+        edges = np.concatenate(([0], np.cumsum(counts)))[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+        return ids, np.diff(edges)
+
+
+def gathered(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs that ``codes`` name, one after the other, and their sizes; ``flat`` holds runs of ``sizes``."""
+    counts = sizes[codes]
+    shift = (np.cumsum(sizes) - sizes)[codes] - (np.cumsum(counts) - counts)
+    return flat[np.arange(counts.sum()) + np.repeat(shift, counts)], counts
+
 
 class TextEncoder(WordEncoder):
     """Ids under any tokenizer, whole text by whole text."""
 
-    def ids(self, text: str) -> bytes:
-        return next(self._encode([text]))
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return self._flat(list(self._encode(pc.fill_null(texts, "").to_pylist())))
+
+
+def encoder_of(tokenizer: str, by_word: bool) -> WordEncoder:
+    return (WordEncoder if by_word else TextEncoder)(tokenizer)
+
+
+def text_runs(texts: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive slices of bounded size, or of one long text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(sizes, dtype=np.int64), 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + ENCODE_BYTES, "right")))
+        yield texts.slice(at, upto - at)
+        at = upto
+
+
+def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The end id behind each document's ids."""
+    return np.insert(ids, np.cumsum(counts), end_id), counts + 1
 
 
 def _ascending(doc_ids: list[int | None]) -> tuple[int, int, np.ndarray]:
@@ -108,22 +138,22 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, by_wo
     encoder, lengths, doc_ids, sink = None, [], [], None
     for batch in batches:
         if encoder is None:
-            encoder = (WordEncoder if by_word else TextEncoder)(tokenizer)
+            encoder = encoder_of(tokenizer, by_word)
+            width = array(encoder.type).itemsize
             store, root = fs.FileSystem.from_uri(folder)
             store.create_dir(root, recursive=True)
             name = f"{uuid.uuid4().hex}.tok"
             sink = store.open_output_stream(f"{root}/{name}")
             sink.write(MAGIC)
-        end = array(encoder.type, [end_id]).tobytes()
-        for raw in raw_texts(batch.column("text")):
-            ids = encoder.ids(raw.decode() if raw else "") if raw else b""
-            sink.write(ids + end)
-            lengths.append(len(ids + end) // len(end))
+        for texts in text_runs(batch.column("text")):
+            ids, counts = with_end(*encoder.batch(texts), end_id)
+            sink.write(ids.astype(f"<u{width}", copy=False).tobytes())
+            lengths += counts.tolist()
         doc_ids += batch.column("doc_id").to_pylist()
     if sink is None:
         return
     nulls, base, above = _ascending(doc_ids)
-    at, footer = len(MAGIC) + sum(lengths) * len(end), {"width": len(end), "nulls": nulls, "base": base}
+    at, footer = len(MAGIC) + sum(lengths) * width, {"width": width, "nulls": nulls, "base": base}
     for key, code in (("ends", EliasFano.encode(np.cumsum(lengths))), ("docs", EliasFano.encode(above))):
         footer[key] = [code.count, code.width]
         for part in (code.high, code.low, code.samples):

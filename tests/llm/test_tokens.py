@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -74,7 +75,9 @@ PLAIN.encode_special_tokens = True
 @settings(max_examples=300, deadline=None)
 @given(st.one_of(st.text(max_size=60), st.lists(st.sampled_from(["Ab", "é", "É", ".", ",", " ", "  ", "\n", "\t", "'s", "12", "́", "İ", "Σ", "<|endoftext|>", "\x1c", "\xa0", "-"]), max_size=20).map("".join)))
 def test_words_encode_like_whole_texts(text):
-    assert np.frombuffer(ENCODER.ids(text), np.uint16).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+    ids, counts = ENCODER.batch(pa.array(["", text, None, text], pa.string()).slice(1))
+    assert counts.tolist() == [len(ids) // 2, 0, len(ids) // 2] and ids[: counts[0]].tolist() == ids[counts[0] :].tolist()
+    assert ids[: counts[0]].tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
     assert SPANS.spans(text).tolist() == [list(o) for o in PLAIN.encode(text, add_special_tokens=False).offsets]
 
 
