@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tape_audit.llm import attribution, chat, decontamination, language, mixing, packing, quality, sharding, simhash, token_files, topk
+from tape_audit.llm import attribution, chat, decontamination, language, mixing, packing, quality, sharding, simhash, token_files, topk, whitening
 
 TOKENIZER = "word_bpe_49k.json"  # of the public tokenizers installed beside the library
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -104,3 +104,9 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their places in sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), by_word=True).drop("ids")
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the four largest whitened components of the distinct vectors."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
