@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tape_audit.llm import attribution, chat, decontamination, language, mixing, packing, quality, sharding, simhash, token_files, topk, whitening
+from tape_audit.llm import attribution, chat, decontamination, language, mixing, packing, quality, sharding, simhash, spelling, token_files, topk, whitening
 
 TOKENIZER = "word_bpe_49k.json"  # of the public tokenizers installed beside the library
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -110,3 +110,9 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the four largest whitened components of the distinct vectors."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their more frequent near words."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
