@@ -61,11 +61,10 @@ def _counted(batches: Iterator[pa.RecordBatch], shortest: int, odds: int) -> Ite
         for texts in text_runs(batch.column("text")):
             ids = batch.column("doc_id").slice(at, len(texts)).to_pylist()
             at += len(texts)
-            parts = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")), f"[^{RUN}]+")
+            parts = pc.split_pattern_regex(pc.fill_null(texts.cast(pa.large_string()), ""), f"[^{RUN}]+")
             document = np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))
-            runs = parts.flatten()
-            wanted = pc.greater_equal(pc.utf8_length(runs), shortest)
-            runs, document = runs.filter(wanted), document[wanted.to_numpy(zero_copy_only=False)]
+            wanted = pc.greater_equal(pc.utf8_length(parts.flatten()), shortest)
+            runs, document = pc.ascii_lower(parts.flatten().filter(wanted)), document[wanted.to_numpy(zero_copy_only=False)]
             before = np.array([zlib.crc32(f"{'' if i is None else i}:".encode()) for i in ids], np.uint32)
             h = _crc32(before[document], runs)
             lost = h % odds == 0

@@ -7,11 +7,12 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tape_audit.llm import spelling
+from tape_audit.llm import spelling, token_files
 
 SCHEMA = "doc_id long, text string, word string, n int, key string"
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -110,3 +111,17 @@ def test_bound_on_affected_grams(word, at, letter, kind, frequent):
         firsts.append({(g, i) for _, g, i in sorted((int(g in frequent), g, i) for i, g in enumerate(grams))[: bound + 1]})
     grown = len(b) - len(a)
     assert any((g, i) in firsts[1] or (grown and (g, i + 1) in firsts[1]) for g, i in firsts[0])
+
+
+def test_slices_of_a_batch(monkeypatch):
+    """Texts are worked on in slices of a batch; the slices give what the whole gives."""
+    rows = corpus(3, "abcé", 30)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    totals = []
+    for size in (10**9, 150):
+        monkeypatch.setattr(token_files, "ENCODE_BYTES", size)
+        total: Counter[str] = Counter()
+        for part in spelling._counted(iter([batch]), 5, 97):
+            total.update(dict(zip(part.column("word").to_pylist(), part.column("n").to_pylist(), strict=True)))
+        totals.append(total)
+    assert totals[0] == totals[1] and len(totals[0]) > 20
