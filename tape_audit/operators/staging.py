@@ -27,13 +27,31 @@ def staged_root(spark: SparkSession, folder: str | None = None) -> str:
     return f"{shared_dir(spark, folder)}/staged/{spark.sparkContext.applicationId}"
 
 
+_PATHS: dict[str, list[str]] = {}  # of each application's staged tables
+
+
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     path = f"{staged_root(df.sparkSession, folder)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _PATHS.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_tables(spark: SparkSession) -> list[str]:
+    """Paths of the tables that this application has staged and not dropped."""
+    return list(_PATHS.get(spark.sparkContext.applicationId, ()))
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Removes staged tables that nothing will read any more."""
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        _PATHS[spark.sparkContext.applicationId].remove(path)
+
+
 def drop_staged(spark: SparkSession, folder: str | None = None) -> None:
     """Removes every table this application has staged; call it after the results that read them are written."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged_root(spark, folder))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _PATHS.pop(spark.sparkContext.applicationId, None)
