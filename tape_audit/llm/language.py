@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,7 +30,7 @@ LEAST_COUNT = 3  # of a known word
 SMOOTHING = 0.1
 KNOWN = 200_000  # entries of a task's memory of scored words; beyond it the memory starts anew
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD = re.compile(r"[^\W\d_]")
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
@@ -44,6 +45,11 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
+def has_letter(text: str) -> bool:
+    """Whether the text holds a letter of the Unicode category L; other signs of numbers are none."""
+    return any(unicodedata.category(m[0])[0] == "L" for m in _WORD.finditer(text))
+
+
 def _bare(word: str) -> str:
     return word if word.isalpha() else _EDGES.sub("", word)
 
@@ -63,7 +69,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = counts.setdefault(lang, Counter())
             own.update(words)
             for word, n in words.items():
-                for gram in _grams(word[:64], LONGEST):
+                for gram in _grams(word, LONGEST):
                     own[gram] += n
         rows = [(lang, key, n) for lang, own in counts.items() for key, n in own.items()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else ([], [], []), (pa.string(), pa.string(), pa.int64()), strict=True)], ["lang", "key", "n"])
@@ -78,32 +84,32 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
     if not languages:
         return Model([], {}, np.zeros((1, 0)))
     share = F.create_map(*(x for lang in languages for x in (F.lit(lang), F.lit(min(1.0, rows_per_language / sizes[lang])))))
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
+    chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / (1 << 20)
     sample = labelled.where(chance < share[F.col("lang")]).select("text", "lang")
     counts = sample.mapInArrow(_counted, "lang string, key string, n long").groupBy("key", "lang").agg(F.sum("n").alias("n"))
-    entries = counts.groupBy("key").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("n"))
+    by_language = F.map_from_entries(F.collect_list(F.struct("lang", "n")))
+    entries = counts.groupBy("key").agg(F.sum("n").alias("total"), by_language.alias("by"))
+    each = F.array(*(F.coalesce(F.try_element_at("by", F.lit(lang)), F.lit(0)) for lang in languages)).alias("counts")
     is_gram = F.col("key").startswith("\x01")
-    kept = [
-        *entries.where(~is_gram & (F.col("total") >= LEAST_COUNT)).orderBy(F.desc("total"), "key").limit(WORDS).collect(),
-        *entries.where(is_gram).orderBy(F.desc("total"), "key").limit(GRAMS).collect(),
-    ]
-    return build(languages, [(r["key"], r["n"]) for r in kept])
-
-
-def build(languages: list[str], entries: list[tuple[str, dict[str, int]]]) -> Model:
-    """Log frequencies within each kind of entry: words, and n-grams of each length."""
-    at = {lang: i for i, lang in enumerate(languages)}
-    rows, table = {key: i for i, (key, _) in enumerate(entries)}, np.full((len(entries) + 1, len(languages)), SMOOTHING)
-    kind = np.array([len(key) - 1 if key.startswith("\x01") else 0 for key, _ in entries] + [0])
-    for i, (_, counts) in enumerate(entries):
-        for lang, n in counts.items():
-            table[i, at[lang]] += n
+    kept = pa.concat_tables([
+        entries.where(~is_gram & (F.col("total") >= LEAST_COUNT)).orderBy(F.desc("total"), "key").limit(WORDS).select("key", each).toArrow(),
+        entries.where(is_gram).orderBy(F.desc("total"), "key").limit(GRAMS).select("key", each).toArrow(),
+    ]).combine_chunks()
+    flat = kept.column("counts").combine_chunks().flatten() if len(kept) else pa.array([], pa.int64())
+    return build(languages, kept.column("key").to_pylist(), flat.to_numpy(zero_copy_only=False).reshape(-1, len(languages)))
+
+
+def build(languages: list[str], keys: list[str], counts: np.ndarray) -> Model:
+    """Log frequencies within each kind of entry: words, and n-grams of each length. ``counts`` has a row for each key and
+    a column for each language."""
+    table = np.vstack([counts, np.zeros((1, len(languages)))]) + SMOOTHING
+    kind = np.array([len(key) - 1 if key.startswith("\x01") else 0 for key in keys], np.int64)
     for k in range(LONGEST + 1):
-        if (kind[:-1] == k).any():
-            own = np.flatnonzero(kind[:-1] == k)
+        own = np.flatnonzero(kind == k)
+        if len(own):
             table[own] = np.log(table[own] / table[own].sum(axis=0))
     table[-1] = table[:-1].min(initial=0)
-    return Model(languages, rows, table)
+    return Model(languages, {key: i for i, key in enumerate(keys)}, table)
 
 
 class Scorer:
@@ -148,7 +154,7 @@ class Scorer:
         self.known.update(zip(words, range(first, first + len(words)), strict=True))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if text is None or not self.model.languages or not _LETTER.search(text):
+        if text is None or not self.model.languages or not has_letter(text):
             return UNDETERMINED, 0.0
         words = text.lower().split()
         total = np.zeros(len(self.model.languages))

@@ -48,7 +48,7 @@ def test_no_labels_and_no_rows(spark):
 
 @pytest.mark.parametrize("known", [3, 1000])
 def test_scores_equal_brute_force(known):
-    model = language.build(["aa", "bb"], [("the", {"aa": 9}), ("und", {"bb": 7, "aa": 1}), ("\x01t", {"aa": 5, "bb": 4}), ("\x01th", {"aa": 4}), ("\x01u", {"bb": 3}), ("\x01 ", {"aa": 2, "bb": 2})])
+    model = language.build(["aa", "bb"], ["the", "und", "\x01t", "\x01th", "\x01u", "\x01 "], np.array([[9, 0], [1, 7], [5, 4], [4, 0], [0, 3], [2, 2]]))
     for text in ("the und", "thu tu the 12 und!", "Und THE ttu", "x"):
         total = [0.0, 0.0]
         for token in text.lower().split():
@@ -108,3 +108,8 @@ def test_gradients_equal_differences():
         down = loss()
         weights[at] = keep
         assert grad[at] == pytest.approx((up - down) / (2 * step), rel=1e-3, abs=1e-7)
+
+
+@pytest.mark.parametrize(("text", "letters"), [("½ ² ① Ⅷ 3 _", False), ("½ é", True), ("中", True), ("", False), ("_a_", True)])
+def test_letters_are_category_l(text, letters):
+    assert language.has_letter(text) is letters
