@@ -6,6 +6,7 @@ import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from tape_audit.llm import language, quality
