@@ -18,12 +18,12 @@ from tape_audit.config import Policy
 from tape_audit.operators.staging import stage
 from tape_audit.plans import judgement, rules, tables
 from tape_audit.plans.catalog import RULESET_VERSION
-from tape_audit.plans.health import tape_health
-from tape_audit.plans.ledger import KEY, Ledger, TapeRefusedError, build_ledger, resolve_as_of
+from tape_audit.plans.health import combine, finish, partial
+from tape_audit.plans.ledger import KEY, Ledger, TapeRefusedError, build_ledger, check_schema, resolve_as_of
 from tape_audit.plans.rollups import (
-    publication_status, row_accounting, triage_rank, verdict_rollup,
+    check_groups, publication_status, row_accounting, tier_shares, triage_rank, verdict_rollup,
 )
-from tape_audit.plans.tape_checks import flagged_profile, tape_checks, tape_findings
+from tape_audit.plans.tape_checks import TapeFacts, amount_profile, fact_checks, flagged_profile, tape_facts, tape_findings
 from tape_audit.sources import sinks
 
 VERDICT_KEEP = [*KEY, "loan_id", "loan_status"]
@@ -41,6 +41,15 @@ class Audit:
     tables: dict[str, DataFrame]
 
 
+@dataclass(frozen=True)
+class RowAudit:
+    ledger: Ledger
+    as_of: date
+    as_of_source: str
+    assessed: DataFrame
+    state: dict[str, DataFrame]
+
+
 def assess_ledger(ledger: Ledger, policy: Policy = Policy()) -> tuple[Ledger, DataFrame]:
     """Prepare and stage payments, then stage one assessed row per loan."""
     ledger = ledger.prepared()
@@ -70,18 +79,9 @@ def tape_of(raw: DataFrame) -> str:
     return row["tape_id"]
 
 
-def run_metadata(raw: DataFrame, audit_as_of: date, source: str, policy: Policy, tape_digest: str,
-                 status: DataFrame) -> DataFrame:
-    return status.select(
-        F.lit(run_id(tape_digest, policy, audit_as_of)).alias("run_id"),
-        F.lit(tape_of(raw)).alias("tape_id"), F.lit(tape_digest).alias("tape_digest"),
-        F.lit(audit_as_of).alias("as_of"), F.lit(source).alias("as_of_source"),
-        F.lit(RULESET_VERSION).alias("ruleset_version"), F.lit(policy.digest()).alias("policy_digest"),
-        *status.columns)
-
-
-def audit(raw: DataFrame, policy: Policy = Policy(), tape_digest: str | None = None) -> Audit:
-    """``raw`` carries ``tape_id`` and ``source_row_index``. A tape without a usable row is rejected."""
+def audit_rows(raw: DataFrame, policy: Policy = Policy()) -> RowAudit:
+    """All that rows yield without the rest of their tape. ``raw`` carries ``tape_id`` and ``source_row_index``; rows
+    without a usable loan are rejected unless the policy pins the as-of date."""
     ledger = build_ledger(raw, policy, stager=lambda typed: stage(typed, "typed"))
     quarantine = ledger.quarantine
     if policy.as_of is None and ledger.loans.isEmpty():
@@ -89,27 +89,56 @@ def audit(raw: DataFrame, policy: Policy = Policy(), tape_digest: str | None = N
     as_of, source = resolve_as_of(ledger, policy)
     ledger, assessed = assess_ledger(replace(ledger, as_of=as_of), policy)
     results = stage(verdicts(assessed, ledger, policy), "results")
-    checks = stage(tape_checks(ledger.loans, ledger.payments, results, policy), "checks")
-    accounting = row_accounting(raw, results, quarantine)
-    status = publication_status(results, checks, accounting)
+    facts = tape_facts(ledger.loans, ledger.payments, policy)
+    state = {
+        "rows": raw.select(*KEY), "results": results, "quarantine": quarantine,
+        "payments": tables.payments_table(ledger, policy), "coverage": tables.coverage_table(assessed, policy, as_of),
+        "profile": tables.profile_table(assessed),
+        "loan_facts": facts.loans, "paid_facts": facts.paid, "round_facts": facts.rounds,
+        "health": partial(raw, ledger.loans, ledger.payments, quarantine, policy),
+    }
+    return RowAudit(ledger, as_of, source, assessed, state)
+
+
+def finish_audit(state: dict[str, DataFrame], policy: Policy, columns: list[str], tape: str, tape_digest: str,
+                 as_of: date, source: str) -> dict[str, DataFrame]:
+    """The published tables of a tape out of the state of its rows: one part or the union of many."""
+    results, quarantine = state["results"], state["quarantine"]
+    facts = TapeFacts(state["loan_facts"], state["paid_facts"], state["round_facts"])
+    checks = stage(fact_checks(facts, results, policy), "checks")
+    outcomes = judgement.long_outcomes(results)
+    status = publication_status(results, checks, row_accounting(state["rows"], results, quarantine))
+    run = run_id(tape_digest, policy, as_of)
     out = {
         "summary": sinks.summary_table(results, quarantine),
         "loan_results": judgement.public_results(results),
-        "rule_outcomes": judgement.long_outcomes(results),
+        "rule_outcomes": outcomes,
         "findings": judgement.long_findings(results),
-        "payments": tables.payments_table(ledger, policy),
-        "coverage": tables.coverage_table(assessed, policy, as_of),
-        "profile": tables.profile_table(assessed),
-        "tape_checks": checks, "tape_findings": tape_findings(checks),
+        **{name: state[name] for name in ("payments", "coverage", "profile")},
+        "tape_checks": checks, "tape_findings": tape_findings(checks), "amount_profile": amount_profile(facts, policy),
         "flagged_profile": flagged_profile(results),
-        "health": tape_health(raw, ledger.loans, ledger.payments, quarantine, policy, source),
+        "health": finish(combine(state["health"]), check_schema(columns, policy.dictionary), source),
         "quarantine": sinks.quarantine_table(quarantine),
-        "rollup": verdict_rollup(results), "triage": triage_rank(results),
-        "run": run_metadata(raw, as_of, source, policy, tape_digest or "unknown", status),
+        "rollup": verdict_rollup(results), "tiers": tier_shares(results), "check_groups": check_groups(outcomes, checks),
+        "triage": triage_rank(results),
+        "run": status.select(
+            F.lit(tape_digest).alias("tape_digest"), F.lit(as_of).alias("as_of"), F.lit(source).alias("as_of_source"),
+            F.lit(RULESET_VERSION).alias("ruleset_version"), F.lit(policy.digest()).alias("policy_digest"), *status.columns),
     }
-    tape, run = tape_of(raw), run_id(tape_digest or "unknown", policy, as_of)
-    stamped = {name: df.withColumns({"tape_id": F.lit(tape), "run_id": F.lit(run)}) for name, df in out.items()}
-    return Audit(ledger, tape, as_of, source, assessed, results, quarantine, stamped)
+    return {name: df.withColumns({"tape_id": F.lit(tape), "run_id": F.lit(run)}) for name, df in out.items()}
+
+
+def data_columns(raw: DataFrame) -> list[str]:
+    return [c for c in raw.columns if c not in KEY]
+
+
+def audit(raw: DataFrame, policy: Policy = Policy(), tape_digest: str | None = None) -> Audit:
+    """``raw`` carries ``tape_id`` and ``source_row_index``. A tape without a usable row is rejected."""
+    rows = audit_rows(raw, policy)
+    tape = tape_of(raw)
+    out = finish_audit(rows.state, policy, data_columns(raw), tape, tape_digest or "unknown", rows.as_of, rows.as_of_source)
+    return Audit(rows.ledger, tape, rows.as_of, rows.as_of_source, rows.assessed, rows.state["results"],
+                 rows.state["quarantine"], out)
 
 
 def write_audit(result: Audit, folder: str, fmt: str = "parquet") -> None:

@@ -290,3 +290,34 @@ def order_tape(orders: DataFrame) -> DataFrame:
 
 def raw_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_tape(table(spark, sf_dir, "orders"))
+
+
+RECORDS_IN_CELL = 120  # of the dialect cells; with them a cell stays below the usual limit of 32,767 characters
+
+
+def dialect_cells(lineitem: DataFrame) -> DataFrame:
+    """Cells of a hundred detail rows each, written in eight notations: (notation, cell, payments). Rows are packed by
+    the place they are read at, so no order is gathered, however many rows it has."""
+    c = F.col
+    rows = lineitem.withColumns({
+        "notation": F.pmod(c("l_orderkey") + c("l_partkey"), F.lit(8)), "cents": F.bround(c("l_extendedprice") * 100).cast("bigint"),
+        "cell": F.floor(F.monotonically_increasing_id() / F.lit(RECORDS_IN_CELL * 8)),
+    })
+    n, q = c("notation"), F.when(c("notation").isin(1, 6), '"').otherwise("'")
+    key, gap = c("l_orderkey").cast("string"), F.when(n == 4, " \t\n" * 6).otherwise(" ")
+    whole, frac = F.floor(c("cents") / 100), F.lpad((c("cents") % 100).cast("string"), 2, "0")
+    thousands = F.when(whole >= 1000, F.concat(F.floor(whole / 1000).cast("string"), F.lit("_"), F.lpad((whole % 1000).cast("string"), 3, "0")))
+    euros = F.coalesce(F.when(n == 2, thousands), whole.cast("string"))
+    loan = F.when(n == 3, F.concat(F.lit("'"), F.substring(key, 1, 1), F.lit("' # a note, 'None'\n '"), F.substring(key, F.lit(2), F.length(key)), F.lit("'"))).otherwise(F.concat(q, key, q))
+    state = (
+        F.when(n == 0, "'x: None, y'").when(n == 1, r'''"caf\u00e9 \"q\" \/ end"''').when(n == 5, r"""'inter\x65st \xe9 \'q\' \\ \101 \d'""")
+        .when(n == 6, '''"it's: True, so"''').otherwise("'plain'"))
+    none = F.when(n == 1, "null").otherwise("None")
+    pending = F.when(n == 7, "-.5").when(n == 2, "5.").when(n == 4, "+7").otherwise("0")
+    pair = lambda name, value: F.concat(q, F.lit(name), q, F.lit(":"), gap, value, gap)
+    record = F.concat(F.lit("{"), F.concat_ws(
+        ", ", pair("Loan ID", loan), pair("Payment date", F.concat(q, F.date_format("l_shipdate", "dd/MM/yyyy"), q)), pair("Repayment date", none),
+        pair("Type", F.concat(q, F.lit("interest"), q)), pair("State", state), pair("Amount", F.concat(euros, F.lit("."), frac)),
+        pair("Pending amount", pending)), F.when(n == 4, " , }").otherwise("}"))
+    return rows.groupBy("notation", "cell").agg(F.collect_list(record).alias("r")).select(
+        "notation", "cell", F.concat(F.lit("[ "), F.array_join("r", ", "), F.when(c("notation") == 4, ",\n]").otherwise(" ]")).alias("payments"))

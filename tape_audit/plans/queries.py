@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from tape_audit.config import LOAN_STATUSES, Policy
 from tape_audit.functions import digits, irr
 from tape_audit.functions import normalize as N
+from tape_audit.operators.diary import explode_nested, parse_nested
 from tape_audit.operators.sequences import behaviour_profile, late_runs
 from tape_audit.operators.staging import shared_dir, stage
 from tape_audit.plans import driver_tables as D
 from tape_audit.plans import features as X
-from tape_audit.plans import health, judgement, rollups, rules, tables
+from tape_audit.plans import batches, health, judgement, rollups, rules, tables
 from tape_audit.plans import oracles as O
 from tape_audit.plans import tape_checks as TC
 from tape_audit.plans.audit import assess_ledger, verdicts
@@ -677,6 +678,26 @@ def nested_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
                     big(F.bround(F.col("pending_amount") * 100)).alias("pending_cents"))
 
 
+@register("""SELECT n AS notation, CAST(l_orderkey AS VARCHAR) AS loan, strftime(l_shipdate, '%d/%m/%Y') AS due, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
+  CASE n WHEN 0 THEN 'x: None, y' WHEN 1 THEN concat('caf', chr(233), ' "q" / end') WHEN 5 THEN concat('interest ', chr(233), ' ''q'' \\ A \\d')
+    WHEN 6 THEN 'it''s: True, so' ELSE 'plain' END AS state,
+  CASE n WHEN 7 THEN -50 WHEN 2 THEN 500 WHEN 4 THEN 700 ELSE 0 END AS pending_cents, 0 AS has_repayment
+FROM (SELECT *, (l_orderkey + l_partkey) % 8 AS n FROM lineitem)""".replace("\\\\", "\\"))
+def nested_dialect(spark: SparkSession, sf: str) -> DataFrame:
+    """Detail rows written into cells in eight notations and read back: digit groups, texts side by side, comments, wide
+    blanks, escapes, constants inside quotes, signs and bare points."""
+    c = F.col
+    cells = parse_nested(D.dialect_cells(D.table(spark, sf, "lineitem")), "payments", 1 << 20)
+    records = explode_nested(cells.filter("diary_error IS NULL AND NOT diary_truncated"), ["notation"])
+    read = lambda name: F.get_json_object("record", f"$['{name}']")
+    typed = N.type_columns(records, {"amount": ("float", read("Amount")), "pending": ("float", read("Pending amount"))},
+                           ["notation", "record"])
+    return typed.select(
+        "notation", read("Loan ID").alias("loan"), read("Payment date").alias("due"), big(F.bround(c("amount.value") * 100)).alias("cents"),
+        read("State").alias("state"), big(F.bround(c("pending.value") * 100)).alias("pending_cents"),
+        read("Repayment date").isNotNull().cast("int").alias("has_repayment"))
+
+
 @register(O.on_tape(""" SELECT id AS source_row_index, CAST(bad_diary AS INTEGER) AS unreadable, CAST(truncated AS INTEGER) AS truncated,
   CAST(n_records AS BIGINT) AS n_records FROM lo"""))
 def nested_salvage(spark: SparkSession, sf: str) -> DataFrame:
@@ -956,6 +977,79 @@ def batch_merge_check(spark: SparkSession, sf: str) -> DataFrame:
         "problem", big("n").alias("n"))
 
 
+@register(O.on_tape(O.TAPE_JUDGED_TAIL + f""", paidrow AS (SELECT *, CAST(round(amount * 100) AS BIGINT) AS cents FROM pay
+  WHERE is_paid AND amount > 0), pc AS (SELECT DISTINCT id, cents FROM paidrow), {_BENFORD},
+free AS (SELECT cents, copies FROM paidrow WHERE type IN ('interest', 'full early repayment')
+  UNION ALL SELECT CAST(round(pending * 100) AS BIGINT), copies FROM pay WHERE pending > 0
+  UNION ALL SELECT CAST(round(v * 100) AS BIGINT), 1 FROM (SELECT unnest([monthly_payment, outstanding, sum_rep_int, sum_out_int]) AS v FROM lo)
+    WHERE v > 0)
+SELECT 'rollup' AS part, metric, key, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT 'by_verdict' AS metric, verdict AS key FROM judged UNION ALL SELECT 'data_integrity', integrity FROM judged
+  UNION ALL SELECT 'credit_event', credit_event FROM judged UNION ALL SELECT 'validation_coverage', coverage FROM judged
+  UNION ALL SELECT 'tier', tier FROM judged UNION ALL SELECT 'loans', 'all' FROM judged
+  UNION ALL SELECT 'by_severity', severity FROM judged WHERE severity IS NOT NULL
+  UNION ALL SELECT 'rule_hits', rule_id FROM found) GROUP BY metric, key
+UNION ALL SELECT 'run', 'quarantined', 'rows', count(*) FROM orders WHERE o_orderkey % 131 = 0
+UNION ALL SELECT 'run', 'read', 'rows', count(*) FROM orders
+UNION ALL SELECT 'health', 'diary_unreadable', '', count(*) FROM lo WHERE bad_diary
+UNION ALL SELECT 'health', 'diary_records', '', count(*) FROM stated
+UNION ALL SELECT 'check', 'I1', CASE WHEN count(*) = count(DISTINCT id) THEN 'pass' ELSE 'fail' END, count(DISTINCT id) FROM lo
+UNION ALL SELECT 'check', 'I2', CASE WHEN count(*) FILTER (WHERE k > 1) > 0 THEN 'fail' ELSE 'pass' END, count(*) FROM (
+  SELECT borrower_id, count(DISTINCT concat(coalesce(CAST(birth_year AS VARCHAR), '-'), '/', borrower_type)) AS k FROM lo GROUP BY 1)
+UNION ALL SELECT 'check', 'I3', CASE WHEN count(*) FILTER (WHERE defect AND severe) / count(*) <= 0.4 THEN 'pass' ELSE 'fail' END,
+  count(*) FILTER (WHERE defect AND severe) FROM judged
+UNION ALL SELECT 'check', 'I4', CASE WHEN count(*) FILTER (WHERE cents >= 100) < 500 OR count(DISTINCT id) FILTER (WHERE cents >= 100) < 200
+  OR log10(max(cents)::DOUBLE / min(cents) FILTER (WHERE cents >= 100)) < 2 THEN 'not_evaluable'
+  WHEN round({_M1}, 4) <= 0.015 THEN 'pass' ELSE 'fail' END, count(*) FILTER (WHERE cents >= 100) FROM pc
+UNION ALL SELECT 'check', 'I5', CASE WHEN count(*) > 0 THEN 'fail' ELSE 'pass' END, count(*) FROM (SELECT due, actual, type, cents
+  FROM paidrow GROUP BY due, actual, type, cents HAVING count(DISTINCT id) > 1)
+UNION ALL SELECT 'check', 'I6', CASE WHEN sum(copies) FILTER (WHERE cents % 100 = 0) / sum(copies) <= 0.1 THEN 'pass' ELSE 'fail' END,
+  sum(copies) FROM free WHERE cents >= 100"""))
+def merged_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw tape audited in four batches of rows and merged: roll-up, run, health and whole-tape checks of the merge."""
+    raw, c = stage(D.raw_tape(spark, sf), "raw"), F.col
+    folder, rows = f"{shared_dir(spark)}/batches-{uuid.uuid4().hex}", raw.count()
+    for i in range(4):
+        batches.write_batch(raw, batches.cut_rows(rows, i, 4), folder, TAPE_POLICY)
+    out = batches.merge_batches(spark, folder, TAPE_POLICY)
+    key = {"I1": "distinct_loan_ids", "I2": "borrowers", "I3": "severe_defects", "I4": "sample", "I5": "shared_rows", "I6": "computed_amounts"}
+    looked_at = F.element_at("evidence", F.element_at(F.create_map(*[F.lit(x) for kv in key.items() for x in kv]), c("rule_id")))
+    line = lambda df, part, metric, k, n: df.select(F.lit(part).alias("part"), metric.alias("metric"), k.alias("key"), big(n).alias("n"))
+    text = F.lit
+    return (
+        line(out["rollup"], "rollup", c("metric"), c("key"), c("n"))
+        .unionByName(line(out["run"], "run", text("quarantined"), text("rows"), c("quarantined")))
+        .unionByName(line(out["run"], "run", text("read"), text("rows"), c("rows_read")))
+        .unionByName(line(out["health"].filter("metric IN ('diary_unreadable', 'diary_records')"), "health", c("metric"), text(""), c("value")))
+        .unionByName(line(out["tape_checks"], "check", c("rule_id"), c("status"), looked_at)))
+
+
+_FAULTY_IDS = """lo AS (SELECT o_orderkey - CASE WHEN planted = 1 AND o_orderkey % 499 = 5 THEN 1 ELSE 0 END AS loan_id,
+  CASE WHEN o_orderkey % 211 <> 0 THEN o_custkey END AS borrower,
+  1940 + o_custkey % 70 + CASE WHEN planted = 1 AND o_orderkey % 601 = 3 THEN 1 ELSE 0 END AS born, planted
+  FROM orders CROSS JOIN (VALUES (0), (1)) v(planted))"""
+
+
+@register(f"""WITH {_FAULTY_IDS}
+SELECT planted, 'I1' AS rule_id, CASE WHEN count(*) FILTER (WHERE k > 1) > 0 THEN 'fail' ELSE 'pass' END AS status,
+  CAST(count(*) FILTER (WHERE k > 1) AS BIGINT) AS n FROM (SELECT planted, loan_id, count(*) AS k FROM lo GROUP BY 1, 2) GROUP BY planted
+UNION ALL SELECT planted, 'I2', CASE WHEN count(*) FILTER (WHERE k > 1) > 0 THEN 'fail' ELSE 'pass' END, count(*) FILTER (WHERE k > 1)
+  FROM (SELECT planted, borrower, count(DISTINCT born) AS k FROM lo WHERE borrower IS NOT NULL GROUP BY 1, 2) GROUP BY planted""")
+def identity_screens(spark: SparkSession, sf: str) -> DataFrame:
+    """Repeated loan numbers and borrowers who contradict themselves: the orders as they are, and with both planted."""
+    loans, c = D.order_loans(D.table(spark, sf, "orders")), F.col
+    k = c("source_row_index")
+    faulty = loans.withColumns({"loan_id": c("loan_id") - F.when(k % 499 == 5, 1).otherwise(0),
+                                "birth_year": c("birth_year") + F.when(k % 601 == 3, 1).otherwise(0)})
+    out = None
+    for planted, rows in ((0, loans), (1, faulty)):
+        people = TC.borrower_facts(rows, POLICY.lender)
+        for check in (TC.duplicate_ids_check(rows), TC.demographics_check(people)):
+            part = check.select(F.lit(planted).alias("planted"), "rule_id", "status", big(c("evidence")["count"]).alias("n"))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN concat('''=', c_name) WHEN 1 THEN concat(''' -', c_name)
   WHEN 2 THEN concat('''@', c_name) ELSE c_name END AS name,
   CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS VARCHAR) ELSE '[unavailable]' END AS public_id,

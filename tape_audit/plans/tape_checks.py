@@ -3,6 +3,8 @@ pre-aggregated keys, and lists in evidence are explicit top-k reports."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ BALANCES = ("monthly_payment", "outstanding_principal", "repaid_interest", "outs
             "arrears", "delay_interest")
 
 
+ROW_IDENTITY = ["due_date", "actual_date", "type", "cents"]
+
+
 # ---- facts ----------------------------------------------------------------------------------------
 
 def paid_rows(payments: DataFrame) -> DataFrame:
@@ -56,6 +61,31 @@ def borrower_facts(loans: DataFrame, lender: str = "default") -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class TapeFacts:
+    """All that the whole-tape checks need, in tables that several batches of one tape may simply put together:
+    ``loans`` with digests instead of identities, ``paid`` records folded by what identifies them, and ``rounds``, one
+    row of counters for each batch."""
+
+    loans: DataFrame
+    paid: DataFrame
+    rounds: DataFrame
+
+    @property
+    def amounts(self) -> DataFrame:
+        """Each paid amount once per loan."""
+        return self.paid.select(*KEY, "loan_id", "cents").dropDuplicates([*KEY, "cents"])
+
+
+def tape_facts(loans: DataFrame, payments: DataFrame, policy: Policy) -> TapeFacts:
+    c = F.col
+    people = borrower_facts(loans, policy.lender).select(*KEY, "token", "demographics")
+    narrow = loans.select(*KEY, "loan_id", public_category(c("loan_status"), LOAN_STATUSES).alias("loan_status"),
+                          public_category(c("loan_type"), LOAN_TYPES).alias("loan_type"), "disbursal_date", "days_late")
+    paid = paid_rows(payments).groupBy(*KEY, "loan_id", *ROW_IDENTITY).agg(F.sum("copies").alias("copies"))
+    return TapeFacts(narrow.join(people, KEY, "left"), paid, round_share(free_cents(loans, payments)))
+
+
 # ---- generic operators ----------------------------------------------------------------------------
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
@@ -120,8 +150,8 @@ def duplicate_ids_check(loans: DataFrame) -> DataFrame:
         {"distinct_loan_ids": c("ids"), "count": c("dupes"), "example": c("example")})
 
 
-def demographics_check(loans: DataFrame, lender: str) -> DataFrame:
-    per = conflicting_attributes(borrower_facts(loans, lender), "token", "demographics")
+def demographics_check(people: DataFrame) -> DataFrame:
+    per = conflicting_attributes(people.filter("token IS NOT NULL"), "token", "demographics")
     stats = per.agg(F.count(F.lit(1)).alias("borrowers"), F.count_if(F.col("rows") > 1).alias("several"),
                     F.count_if("conflicting").alias("bad"))
     c = F.col
@@ -223,12 +253,8 @@ def top_shared_amounts(amounts: DataFrame, policy: Policy, k: int = 10) -> DataF
     return shared_amounts(amounts, policy).orderBy(F.desc("owners"), "cents").limit(k)
 
 
-ROW_IDENTITY = ["due_date", "actual_date", "type", "cents"]
-
-
-def shared_rows_check(loans: DataFrame, payments: DataFrame, amounts: DataFrame, policy: Policy) -> DataFrame:
+def shared_rows_check(rows: DataFrame, amounts: DataFrame, policy: Policy) -> DataFrame:
     c = F.col
-    rows = paid_rows(payments)
     shared = shared_rows(rows, ROW_IDENTITY, "loan_id").agg(
         F.count(F.lit(1)).alias("shared"), F.min("first_owner").alias("example"))
     total = rows.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"))
@@ -243,9 +269,10 @@ def shared_rows_check(loans: DataFrame, payments: DataFrame, amounts: DataFrame,
          "amount_floor_eur": F.lit(policy.tape.duplicate_amount_floor_eur), "example_loan": c("example")})
 
 
-def round_number_check(loans: DataFrame, payments: DataFrame, policy: Policy) -> DataFrame:
+def round_number_check(loans: DataFrame, rounds: DataFrame, policy: Policy) -> DataFrame:
     t, c = policy.tape, F.col
-    amounts = round_share(free_cents(loans, payments))
+    total = lambda n: F.coalesce(F.sum(n), F.lit(0)).alias(n)
+    amounts = rounds.agg(total("computed_amounts"), total("round_amounts"))
     late = loans.filter("days_late <> 0").agg(
         F.count(F.lit(1)).alias("late"), F.count_if(c("days_late") % 30 == 0).alias("late30"))
     one = lambda df: df.withColumn("_one", F.lit(1))
@@ -263,19 +290,40 @@ def round_number_check(loans: DataFrame, payments: DataFrame, policy: Policy) ->
          "days_late_multiple_of_30_share": F.round(late_share, 3)})
 
 
-def tape_checks(loans: DataFrame, payments: DataFrame, results: DataFrame, policy: Policy) -> DataFrame:
-    """Six rows. ``payments`` and ``results`` should be staged."""
-    amounts = distinct_paid_cents(payments)
-    out = duplicate_ids_check(loans)
+def fact_checks(facts: TapeFacts, results: DataFrame, policy: Policy) -> DataFrame:
+    """Six rows, from the facts of a whole tape however many batches they come from."""
+    out = duplicate_ids_check(facts.loans)
     for part in (
-        demographics_check(loans, policy.lender), circuit_breaker_check(results, policy),
-        benford_check(amounts, policy), shared_rows_check(loans, payments, amounts, policy),
-        round_number_check(loans, payments, policy),
+        demographics_check(facts.loans), circuit_breaker_check(results, policy), benford_check(facts.amounts, policy),
+        shared_rows_check(facts.paid, facts.amounts, policy), round_number_check(facts.loans, facts.rounds, policy),
     ):
         out = out.unionByName(part)
     return out
 
 
+def tape_checks(loans: DataFrame, payments: DataFrame, results: DataFrame, policy: Policy) -> DataFrame:
+    """Six rows. ``payments`` and ``results`` should be staged."""
+    return fact_checks(tape_facts(loans, payments, policy), results, policy)
+
+
+def amount_profile(facts: TapeFacts, policy: Policy) -> DataFrame:
+    """Long (metric, key, count, share): first digits by count and by value, first-digit deviation of each segment with
+    enough amounts, and the non-round amounts that most loans share (a top-k report)."""
+    c = F.col
+    line = lambda df, metric, key, count, share: df.select(
+        F.lit(metric).alias("metric"), key.cast("string").alias("key"), count.cast("bigint").alias("count"),
+        share.cast("double").alias("share"))
+    each = digits.digit_shares(facts.amounts, "cents")
+    segments = benford_segments(facts.loans, facts.amounts, policy)
+    none = F.lit(None)
+    return (
+        line(each, "first_digit", c("digit"), c("n"), c("observed_share"))
+        .unionByName(line(each, "first_digit_value", c("digit"), c("n"), c("summation_share")))
+        .unionByName(line(segments, "segment", c("segment"), c("distinct_amounts"), c("first_digit_mad")))
+        .unionByName(line(top_shared_amounts(facts.amounts, policy), "shared_amount", c("cents"), c("owners"), none))
+    )
+
+
 def tape_findings(checks: DataFrame) -> DataFrame:
     return checks.filter("status = 'fail'").select("rule_id", "group", "severity", "message", "evidence")
 
