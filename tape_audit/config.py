@@ -66,36 +66,68 @@ def _euros(x: float) -> Setting:
     return Setting(x, 0, None, "EUR")
 
 
-# Defaults of every threshold, with their bounds.
+# The names of all settings, which policy files use, in alphabetical order, with defaults and bounds.
 SETTINGS: dict[str, dict[str, Setting]] = {
-    "lateness": {
-        "grace_days": _days(5), "medium_days": _days(30), "watch_flag_days": _days(60), "default_days": _days(90),
-        "habitual_late_share": _share(0.5), "trend_min_paid": _count(6, 2),
-        "drift_min_exceeding": _count(2), "drift_recent_episodes": _count(3),
-    },
-    "tolerance": {
-        "amount_eur": _euros(0.50), "interest_eur": _euros(1.00), "instalment_interest_eur": _euros(0.50),
-        "instalment_interest_rel": _share(0.15), "principal_gap_material_share": _share(0.10),
-        "schedule_min_gap_days": _days(20), "schedule_gap_days": _days(45), "expected_repayment_days": _days(45),
-        "repayment_date_slack_days": _days(3), "grace_state_days": _days(15), "days_late_days": _days(5), "as_of_isolated_days": _days(45),
+    "dictionary": {
+        "borrower_type_values": Setting(BORROWER_TYPES, 1),
+        "credit_score_values": Setting(CREDIT_SCORES, 1),
+        "loan_status_values": Setting(LOAN_STATUSES, 1),
+        "loan_type_values": Setting(LOAN_TYPES, 1),
+        "optional_columns": Setting(OPTIONAL_COLUMNS),
+        "purpose_code_pattern": Setting(PURPOSE_CODE, None),
+        "required_columns": Setting(REQUIRED_COLUMNS, 1),
     },
     "irr": {
-        "low_rate_floor": Setting(-0.99, None), "high_rate_ceiling": Setting(10.0, None), "min_inflows": _count(3),
-        "min_realised_interest_share": _share(0.10), "gap_relative": _share(0.40), "gap_percentage_points": Setting(5.0, 0, None, "points"),
+        "gap_percentage_points": Setting(5.0, 0, None, "points"),
+        "gap_relative": _share(0.40),
+        "high_rate_ceiling": Setting(10.0, None),
+        "low_rate_floor": Setting(-0.99, None),
+        "min_inflows": _count(3),
+        "min_realised_interest_share": _share(0.10),
+    },
+    "lateness": {
+        "default_days": _days(90),
+        "drift_min_exceeding": _count(2),
+        "drift_recent_episodes": _count(3),
+        "grace_days": _days(5),
+        "habitual_late_share": _share(0.5),
+        "medium_days": _days(30),
+        "trend_min_paid": _count(6, 2),
+        "watch_flag_days": _days(60),
     },
     "plausibility": {
-        "min_age": _count(18, 0), "max_age": _count(100, 0), "min_term_months": _count(1), "max_term_months": _count(360),
-        "min_interest_rate": Setting(0.0), "max_interest_rate": Setting(100.0), "max_payment_to_income": Setting(1.0),
+        "max_age": _count(100, 0),
+        "max_interest_rate": Setting(100.0),
+        "max_payment_to_income": Setting(1.0),
+        "max_term_months": _count(360),
+        "min_age": _count(18, 0),
+        "min_interest_rate": Setting(0.0),
+        "min_term_months": _count(1),
     },
     "tape": {
-        "cell_limit": _count(32767), "circuit_breaker_share": _share(0.40), "duplicate_amount_floor_eur": _euros(50.0),
-        "benford_min_sample": _count(500), "benford_min_loans": _count(200), "benford_max_mad": _share(0.015),
-        "round_min_sample": _count(100), "round_share_max": _share(0.10), "round_min_days_late": _days(30, 1),
+        "benford_max_mad": _share(0.015),
+        "benford_min_loans": _count(200),
+        "benford_min_sample": _count(500),
+        "cell_limit": _count(32767),
+        "circuit_breaker_share": _share(0.40),
+        "duplicate_amount_floor_eur": _euros(50.0),
+        "round_min_days_late": _days(30, 1),
+        "round_min_sample": _count(100),
+        "round_share_max": _share(0.10),
     },
-    "dictionary": {
-        "required_columns": Setting(REQUIRED_COLUMNS, 1), "optional_columns": Setting(OPTIONAL_COLUMNS), "loan_status_values": Setting(LOAN_STATUSES, 1),
-        "loan_type_values": Setting(LOAN_TYPES, 1), "borrower_type_values": Setting(BORROWER_TYPES, 1), "credit_score_values": Setting(CREDIT_SCORES, 1),
-        "purpose_code_pattern": Setting(PURPOSE_CODE, None),
+    "tolerance": {
+        "amount_eur": _euros(0.50),
+        "as_of_isolated_days": _days(45),
+        "days_late_days": _days(5),
+        "expected_repayment_days": _days(45),
+        "grace_state_days": _days(15),
+        "instalment_interest_eur": _euros(0.50),
+        "instalment_interest_rel": _share(0.15),
+        "interest_eur": _euros(1.00),
+        "principal_gap_material_share": _share(0.10),
+        "repayment_date_slack_days": _days(3),
+        "schedule_gap_days": _days(45),
+        "schedule_min_gap_days": _days(20),
     },
 }
 

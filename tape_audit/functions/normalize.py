@@ -79,9 +79,9 @@ def recognise_number(t: Column) -> Column:
     error = (
         F.when(is_missing(t) | t.rlike(_PLAIN_NUMBER), F.lit(None).cast("string"))
         .when(t.rlike("^[^,]*[.][^,]*[.]|,.*,|[.].*,|,.*[.]| ") & text.isNull(),
-              F.lit("invalid numeric grouping"))
-        .when(t.rlike(_LONE_COMMA_GROUP), F.lit("ambiguous numeric separator"))
-        .when(text.isNull(), F.lit("not a finite number"))
+              F.lit("digits are not grouped by thousands"))
+        .when(t.rlike(_LONE_COMMA_GROUP), F.lit("separator may be decimal or grouping"))
+        .when(text.isNull(), F.lit("no number of finite size"))
     )
     return F.struct(F.when(~is_missing(t), text).alias("text"), error.alias("error"))
 
@@ -93,7 +93,7 @@ def float_value(n: Column) -> Column:
     return F.struct(
         F.when(finite, raw).alias("value"),
         F.coalesce(n["error"], F.when(n["text"].isNotNull() & ~finite,
-                                      F.lit("non-finite number"))).alias("error"),
+                                      F.lit("number too large"))).alias("error"),
     )
 
 
@@ -126,7 +126,7 @@ def int_value(n: Column) -> Column:
     value = plain.try_cast("bigint")
     error = F.when(text.isNotNull() & value.isNull(), F.when(
         text.rlike(_WHOLE_NUMBER) | text.rlike("[eE]") & scientific_digits(text).isNotNull(),
-        F.lit("integer outside supported range")).otherwise(F.lit("not an integer")))
+        F.lit("whole number beyond 64 bits")).otherwise(F.lit("no whole number")))
     return F.struct(value.alias("value"), F.coalesce(n["error"], error).alias("error"))
 
 
@@ -140,8 +140,8 @@ def recognise_date(t: Column) -> Column:
         F.when(t.rlike(_ISO), iso).alias("iso"),
         F.when(slash, _date(year, second, first)).alias("day_first"),
         F.when(slash, _date(year, first, second)).alias("month_first"),
-        F.when(~is_missing(t), F.when(slash, F.lit("unparseable slash date"))
-               .otherwise(F.lit("unrecognised date format"))).alias("error"),
+        F.when(~is_missing(t), F.when(slash, F.lit("no such day in slash notation"))
+               .otherwise(F.lit("date in no known notation"))).alias("error"),
     )
 
 

@@ -188,7 +188,7 @@ def split_quarantine(typed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows without an integer loan id are set aside with a reason; the others go on."""
     usable = typed.filter("loan_id IS NOT NULL")
     quarantine = typed.filter("loan_id IS NULL").select(
-        *KEY, "loan_id_raw", F.lit("Loan ID missing or not an integer").alias("reason")
+        *KEY, "loan_id_raw", F.lit("loan number absent or not whole").alias("reason")
     )
     return usable, quarantine
 

@@ -688,7 +688,7 @@ def nested_dialect(spark: SparkSession, sf: str) -> DataFrame:
     blanks, escapes, constants inside quotes, signs and bare points."""
     c = F.col
     cells = parse_nested(D.dialect_cells(D.table(spark, sf, "lineitem")), "payments", 1 << 20)
-    records = explode_nested(cells.filter("diary_error IS NULL AND NOT diary_truncated"), ["notation"])
+    records = explode_nested(cells, ["notation"])
     read = lambda name: F.get_json_object("record", f"$['{name}']")
     typed = N.type_columns(records, {"amount": ("float", read("Amount")), "pending": ("float", read("Pending amount"))},
                            ["notation", "record"])
@@ -767,7 +767,7 @@ def tape_verdicts(spark: SparkSession, sf: str) -> DataFrame:
   CAST(CASE o_orderkey % 6 WHEN 0 THEN 1 WHEN 1 THEN 1
     WHEN 2 THEN CASE WHEN day(o_orderdate) <= 12 AND day(o_orderdate) <> month(o_orderdate) THEN 2 ELSE 1 END
     WHEN 3 THEN CASE WHEN day(o_orderdate) <= 12 AND day(o_orderdate) <> month(o_orderdate) THEN 2 ELSE 1 END END AS BIGINT) AS readings,
-  CASE o_orderkey % 6 WHEN 4 THEN 'unrecognised date format' END AS error FROM orders""")
+  CASE o_orderkey % 6 WHEN 4 THEN 'date in no known notation' END AS error FROM orders""")
 def parse_dates(spark: SparkSession, sf: str) -> DataFrame:
     """Order dates in six notations: ISO, ISO with time, day first, month first, dotted, missing."""
     o, c = D.table(spark, sf, "orders"), F.col
@@ -789,7 +789,7 @@ _NUM = "CAST(round(l_extendedprice * 100) AS BIGINT)"
 
 @register(f"""SELECT m, CAST(count(*) AS BIGINT) AS n, CAST(coalesce(sum(CASE WHEN m IN (0, 1, 2, 3, 4) THEN {_NUM} END), 0) AS BIGINT)
   AS cents, CAST(count(*) FILTER (WHERE m IN (5, 6, 7)) AS BIGINT) AS errors,
-  CASE m WHEN 5 THEN 'ambiguous numeric separator' WHEN 6 THEN 'invalid numeric grouping' WHEN 7 THEN 'not a finite number' END AS error
+  CASE m WHEN 5 THEN 'separator may be decimal or grouping' WHEN 6 THEN 'digits are not grouped by thousands' WHEN 7 THEN 'no number of finite size' END AS error
   FROM (SELECT *, (l_orderkey + l_linenumber) % 9 AS m FROM lineitem) GROUP BY m""")
 def parse_numbers(spark: SparkSession, sf: str) -> DataFrame:
     """Detail amounts in nine notations; sums prove that each clean one is read back to the cent."""
@@ -893,14 +893,17 @@ def integer_decimals(spark: SparkSession, sf: str) -> DataFrame:
   SELECT CASE WHEN k % 6 = 0 AND day(start) > 12 THEN 'DD/MM/YYYY' ELSE 'YYYY-MM-DDThh:mm:ss.sss' END AS shape FROM tape
   UNION ALL SELECT 'YYYY-MM-DDThh:mm:ss.sss' FROM tape
   UNION ALL SELECT 'YYYY-MM-DDThh:mm:ss.sss' FROM tape WHERE status = 'repaid' AND k % 59 <> 0) GROUP BY shape
-UNION ALL SELECT 'records', 'kept', count(*) FROM stated)"""))
+UNION ALL SELECT 'records', 'kept', count(*) FROM stated
+UNION ALL SELECT 'diary_dates', 'DD/MM/YYYY', count(due) + count(actual) FROM stated)"""))
 def date_shapes(spark: SparkSession, sf: str) -> DataFrame:
-    """Layouts of the tape's loan dates, and the number of records its cells hold."""
-    raw = D.raw_tape(spark, sf)
+    """Layouts of the tape's loan dates and of the dates in its history cells, and the number of records these hold."""
+    raw = stage(D.raw_tape(spark, sf), "raw")
     shapes = health.loan_dates(raw).groupBy("key").agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("loan_dates").alias("metric"), "key", "n")
     records = to_loans(raw, TAPE_POLICY).filter("loan_id IS NOT NULL").agg(F.sum("n_records").alias("n"))
-    return shapes.unionByName(records.select(F.lit("records").alias("metric"), F.lit("kept").alias("key"), "n"))
+    usable = raw.filter(~F.col("`Loan ID`").startswith("N/A"))
+    inside = health.diary_dates(usable).groupBy("key").agg(F.count(F.lit(1)).alias("n")).select(F.lit("diary_dates").alias("metric"), "key", "n")
+    return shapes.unionByName(records.select(F.lit("records").alias("metric"), F.lit("kept").alias("key"), "n")).unionByName(inside)
 
 
 _PROFILE_SQL = """SELECT 'rows' AS metric, '' AS "column", CAST(count(*) AS BIGINT) AS value FROM orders

@@ -129,7 +129,7 @@ def test_clean_loan_and_planted_faults(spark, published):
         assert expected <= fired, (loan["Loan ID"], expected, fired)
         if not expected:
             assert not fired and r.verdict == "normal" and r.tier == "clean" and r.checks_passed > 20
-            assert r.primary_reason == "no anomalies detected"
+            assert r.primary_reason == "every check that applies was passed"
 
 
 def test_default_boundary_and_severity(spark, published):
