@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tape_audit.config import Policy
 from tape_audit.operators.conventions import KEY
+from tape_audit.operators.staging import stage
 
 
 def ordered_prefix(
@@ -39,28 +40,19 @@ def ordered_prefix(
     return joined.drop(*[f"_v_{n}" for n in values], *[f"_o_{n}" for n in values])
 
 
-def blocked_rank(df: DataFrame, levels: list[list[tuple[str, bool]]], order: list[Column], out: str) -> DataFrame:
-    """Global 1-based rank without a global window. ``levels`` are nested blocks, each a list of
-    ``(column, ascending)``; together they must be a prefix of ``order``. Block sizes are counted once,
-    turned into offsets level by level, and rows are numbered only inside their innermost block."""
-    names = [[n for n, _ in level] for level in levels]
-    flat = [n for level in names for n in level]
-    sizes = df.groupBy(*flat).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.withColumn("_before", F.lit(0).cast("bigint"))
-    for depth in range(len(levels)):
-        outer = [n for level in names[:depth] for n in level]
-        block = outer + names[depth]
-        per_block = sizes.groupBy(*block).agg(F.sum("_n").alias("_n"))
-        keys = [F.col(n).asc() if up else F.col(n).desc() for n, up in levels[depth]]
-        earlier = Window.partitionBy(*(outer or [F.lit(0)])).orderBy(*keys).rowsBetween(
-            Window.unboundedPreceding, -1)
-        per_block = per_block.select(*block, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_o"))
-        offsets = offsets.join(per_block, block).withColumn("_before", F.col("_before") + F.col("_o")).drop("_o")
-    inner = Window.partitionBy(*flat).orderBy(*order)
-    return (
-        df.join(offsets.drop("_n"), flat)
-        .withColumn(out, F.row_number().over(inner) + F.col("_before")).drop("_before")
-    )
+def global_rank(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """Global 1-based rank by ``order``, which must tell all rows apart. Rows are dealt into ranges of the whole order and
+    sorted there; a row's rank is the size of the ranges before its own and its place inside. The ranges are stored once,
+    so both readings see the same, and only their sizes, one row for each, pass through one task."""
+    local = F.monotonically_increasing_id()  # the range's number stands above 33 bits of place
+    ranged = stage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", local), "ranked")
+    part = F.shiftright("_place", 33)
+    sizes = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.withColumn("_part", part).join(offsets, "_part").withColumn(
+        out, F.col("_before") + inside + 1).drop("_part", "_place", "_before")
 
 
 def late_runs(delays: DataFrame, grace: int, *, giant: bool = False) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -252,21 +253,28 @@ def resolve_as_of(ledger: Ledger, policy: Policy) -> tuple[date, str]:
     return row.as_of, source
 
 
+def _located(df: DataFrame) -> DataFrame:
+    """Each row with its file, its split of that file, and a number that grows with its place inside the split."""
+    place = F.monotonically_increasing_id().alias("_place")
+    try:
+        return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"), place)
+    except AnalysisException:  # not a scan of files: its partitions in their order
+        return df.select("*", place).select("*", F.lit("").alias("_file"), F.shiftright("_place", 33).alias("_split"))
+
+
 def with_row_index(df: DataFrame) -> DataFrame:
-    """Contiguous 0-based source position of the rows of a file scan. Rows are counted per partition first; a row's
-    position is its partition's offset and its place inside. All of it stays in the JVM, no row is sorted or
-    shuffled, and the offsets are one row per partition."""
+    """Contiguous 0-based source position of the rows: files by name, rows as they stand in each. How Spark packs splits
+    into tasks has no part in it. Rows are counted per split first; a row's position is its split's offset and its place
+    inside. All of it stays in the JVM, no row is sorted or shuffled, and the offsets are one row per split."""
     if "source_row_index" in df.columns:
         return df
-    local = F.monotonically_increasing_id()  # the partition's number stands above 33 bits of local position
-    placed = df.withColumn("_place", local)
-    part = F.shiftright("_place", 33)
-    counts = df.select(local.alias("_place")).groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
-    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn("_part", part).join(F.broadcast(offsets), "_part").select(
-        *(F.col(f"`{c}`") for c in df.columns), (F.col("_offset") + inside).alias("source_row_index"))
+    placed = _located(df)
+    splits = placed.select("_file", "_split", "_place").groupBy("_file", "_split").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    before = Window.orderBy("_file", "_split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("_file", "_split", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"))
+    return placed.join(offsets, ["_file", "_split"]).select(
+        *(F.col(f"`{c}`") for c in df.columns), (F.col("_offset") + F.col("_place")).alias("source_row_index"))
 
 
 def dense_position(df: DataFrame, keys: list[str], order: list[str], spread: Column, out: str) -> DataFrame:

@@ -25,7 +25,7 @@ from tape_audit.plans import batches, health, judgement, rollups, rules, tables
 from tape_audit.plans import oracles as O
 from tape_audit.plans import tape_checks as TC
 from tape_audit.plans.audit import assess_ledger, verdicts
-from tape_audit.plans.ledger import KEY, Ledger, build_ledger, infer_as_of, to_loans
+from tape_audit.plans.ledger import KEY, Ledger, build_ledger, infer_as_of, to_loans, with_row_index
 from tape_audit.sources import sinks
 from tape_audit.streaming.onboard import incremental
 
@@ -725,6 +725,18 @@ def scan_typing(spark: SparkSession, sf: str) -> DataFrame:
         big(F.size("parse_issues")).alias("issues"))
 
 
+@register("""SELECT o_orderkey, CAST(row_number() OVER (ORDER BY CASE WHEN o_orderkey % 7 = 0 THEN 'a' WHEN o_orderkey % 7 < 5 THEN 'b' ELSE 'c' END,
+  o_orderkey) - 1 AS BIGINT) AS source_row_index FROM orders""")
+def source_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders written as text files of unequal size in three folders, and numbered as they stand there."""
+    k = F.col("o_orderkey")
+    rows = D.table(spark, sf, "orders").select(k, F.when(k % 7 == 0, "a").when(k % 7 < 5, "b").otherwise("c").alias("part"))
+    folder = f"{shared_dir(spark)}/positions-{uuid.uuid4().hex}"
+    rows.repartitionByRange("part", "o_orderkey").sortWithinPartitions("part", "o_orderkey").write.partitionBy("part").csv(folder)
+    files = spark.read.schema("o_orderkey bigint").option("recursiveFileLookup", "true").csv(folder)
+    return with_row_index(files).select("o_orderkey", "source_row_index")
+
+
 @register("""SELECT o_orderkey AS source_row_index, CAST(o_orderkey % 131 = 0 AS INTEGER) AS quarantined FROM orders""")
 def quarantine_split(spark: SparkSession, sf: str) -> DataFrame:
     led = tape_ledger(spark, sf)
@@ -1009,11 +1021,11 @@ UNION ALL SELECT 'check', 'I5', CASE WHEN count(*) > 0 THEN 'fail' ELSE 'pass' E
 UNION ALL SELECT 'check', 'I6', CASE WHEN sum(copies) FILTER (WHERE cents % 100 = 0) / sum(copies) <= 0.1 THEN 'pass' ELSE 'fail' END,
   sum(copies) FROM free WHERE cents >= 100"""))
 def merged_audit(spark: SparkSession, sf: str) -> DataFrame:
-    """The raw tape audited in four batches of rows and merged: roll-up, run, health and whole-tape checks of the merge."""
+    """The raw tape audited in three batches of rows and merged: roll-up, run, health and whole-tape checks of the merge."""
     raw, c = stage(D.raw_tape(spark, sf), "raw"), F.col
     folder, rows = f"{shared_dir(spark)}/batches-{uuid.uuid4().hex}", raw.count()
-    for i in range(4):
-        batches.write_batch(raw, batches.cut_rows(rows, i, 4), folder, TAPE_POLICY)
+    for i in range(3):
+        batches.write_batch(raw, batches.cut_rows(rows, i, 3), folder, TAPE_POLICY)
     out = batches.merge_batches(spark, folder, TAPE_POLICY)
     key = {"I1": "distinct_loan_ids", "I2": "borrowers", "I3": "severe_defects", "I4": "sample", "I5": "shared_rows", "I6": "computed_amounts"}
     looked_at = F.element_at("evidence", F.element_at(F.create_map(*[F.lit(x) for kv in key.items() for x in kv]), c("rule_id")))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tape_audit.functions import digits
 from tape_audit.operators import conventions as C
-from tape_audit.operators.sequences import blocked_rank, ordered_prefix
+from tape_audit.operators.sequences import global_rank, ordered_prefix
 from tape_audit.plans import driver_tables as DT
 from tape_audit.plans import rollups
 from tape_audit.plans.health import combine, top_values
@@ -32,11 +32,11 @@ def test_running_sums_agree_on_a_hot_key(spark):
     assert {key: s for key, (s, _) in got.items()} == want
 
 
-def test_blocked_rank_is_the_global_rank(spark):
+def test_rank_by_ranges_is_the_global_rank(spark):
     rnd = random.Random(3)
     data = [(rnd.randrange(4), rnd.randrange(5), i) for i in range(2000)]
     df = spark.createDataFrame(data, "a int, b int, i long")
-    ranked = blocked_rank(df, [[("a", False)], [("b", True)]], [F.col("i").asc()], "r").collect()
+    ranked = global_rank(df, [F.col("a").desc(), F.col("b").asc(), F.col("i").asc()], "r").collect()
     want = {t: n for n, t in enumerate(sorted(data, key=lambda t: (-t[0], t[1], t[2])), start=1)}
     assert {(r.a, r.b, r.i): r.r for r in ranked} == want
 
