@@ -6,7 +6,8 @@ stands for and how many tokens it expands to. Turns are framed by control string
 assistant's text in the formatted string.
 
 Escaping is minimal and reversible: wherever a control string, or an escaped one, stands in a text, one backslash is
-set behind its first character. So a formatted string holds a control string only where the template put it.
+set behind its first character. So a formatted string holds a control string only where the template put it. Texts side
+by side count as one text, and a kind keeps no bar of its own.
 """
 
 from __future__ import annotations
@@ -39,6 +40,11 @@ def _role(role: Column) -> Column:
     return F.replace(escape(role), F.lit("\n"), F.lit(LINE))
 
 
+def _kind(kind: Column) -> Column:
+    """A kind stands inside a placeholder: with no bar of its own it cannot close it."""
+    return F.replace(escape(kind), F.lit("|"), F.lit("\\|"))
+
+
 def text_part(text: Column) -> Column:
     """A turn of one text part; null text is empty."""
     empty = F.lit(None)
@@ -62,13 +68,18 @@ def _is_text(part: Column) -> Column:
 
 
 def _visit(parts: Column, before: Column) -> Column:
-    """The content of a turn: escaped texts and numbered placeholders; ``before`` attachments precede the turn."""
-    def step(part: Column, i: Column) -> Column:
-        number = before + F.size(F.filter(F.slice(parts, 1, i), lambda p: ~_is_text(p)))
-        return F.when(_is_text(part), escape(F.coalesce(part["text"], F.lit("")))).otherwise(
-            F.concat(F.lit("<|"), part["kind"], F.lit(":"), number.cast("string"), F.lit("|>")))
-
-    return F.array_join(F.transform(parts, step), "")
+    """The content of a turn: escaped texts and numbered placeholders; ``before`` attachments precede the turn. Texts side
+    by side are escaped as one, so that no control string forms across their border."""
+    marks = F.filter(F.transform(parts, lambda p, i: F.when(~_is_text(p), i)), lambda i: i.isNotNull())
+    ends = F.concat(marks, F.array(F.size(parts)))
+    gaps = F.arrays_zip(F.concat(F.array(F.lit(0)), F.transform(marks, lambda i: i + 1)).alias("from"), ends.alias("to"))
+
+    def step(gap: Column, k: Column) -> Column:
+        texts = F.transform(F.slice(parts, gap["from"] + 1, gap["to"] - gap["from"]), lambda p: F.coalesce(p["text"], F.lit("")))
+        mark = F.concat(F.lit("<|"), _kind(F.get(parts, gap["to"])["kind"]), F.lit(":"), (before + k).cast("string"), F.lit("|>"))
+        return F.concat(escape(F.array_join(texts, "")), F.coalesce(mark, F.lit("")))
+
+    return F.array_join(F.transform(gaps, step), "")
 
 
 def _attachments(parts: Column) -> Column:
