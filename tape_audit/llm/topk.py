@@ -158,7 +158,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, shard: int = SHARD
 
     Vectors that are null or hold null or non-finite components, and rows without vec_id, take no part. Shorter vectors
     count as ending in zeros. Rows that repeat a vec_id are candidates each, but none of them for their own query, and
-    a repeated query gives one result. Scores beyond a long are cut to its range. Fewer candidates than k, fewer rows.
+    a repeated query gives one result, that of its least vector. Scores beyond a long are cut to its range. Fewer candidates than k, fewer rows.
     """
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     used = stage(vectors.where("vec_id is not null and embedding is not null").where(finite)
@@ -169,9 +169,9 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, shard: int = SHARD
     dealt = used.withColumn("shard", place)
     trees = stage(dealt.repartition(shards, "shard").sortWithinPartitions("shard", "vec_id")
                   .mapInArrow(lambda b: _trees(b, width), "shard long, tree binary"), "trees")
-    asked = dealt.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).withColumn(
+    asked = used.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("whole").alias("whole")).withColumn("home", place).withColumn(
         "block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(max(1, math.ceil(n / every / block)))).cast("int"))
-    asked = stage(asked.withColumnRenamed("shard", "home"), "queries")
+    asked = stage(asked, "queries")
 
     def search(queries: DataFrame) -> DataFrame:
         """One task for each (shard, block): every block of queries meets every tree that it names."""
@@ -195,7 +195,7 @@ WITH v AS (
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.w::DOUBLE[], c.w::DOUBLE[])::BIGINT AS score
-  FROM v q, v c WHERE q.vec_id % {EVERY} = 0 AND q.vec_id <> c.vec_id
+  FROM (SELECT vec_id, min(w) AS w FROM v WHERE vec_id % {EVERY} = 0 GROUP BY vec_id) q, v c WHERE q.vec_id <> c.vec_id
 )
 SELECT query_id, rank, vec_id, score FROM (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s

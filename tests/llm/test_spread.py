@@ -9,6 +9,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import pytest
 
 from tape_audit.llm import mixing, sharding, topk
@@ -159,3 +160,17 @@ def test_top_k_few_and_large(spark):
     huge = [(0, [3.0e7], 1, "x", 2), (1, [9.0e7], 1, "x", 2)]
     assert [r["score"] for r in topk.top_k(spark.createDataFrame(huge, VECTORS), 5, 1).collect()] == [(1 << 63) - 1] * 2
     assert topk.top_k(spark.createDataFrame([], VECTORS)).collect() == []
+
+
+def test_top_k_of_a_repeated_id_hangs_on_no_order(spark):
+    """Different vectors under one id: the least one asks, all are candidates of others, and the SQL twin agrees."""
+    rows = [(0, [2.0, 1.0]), (0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, [4.0, 0.0]), (2, [0.0, 3.0]), (50, [0.5, 0.5]), (50, [0.25, 9.0])]
+    results = []
+    for given in (rows, rows[::-1]):
+        got = topk.top_k(spark.createDataFrame(given, "vec_id long, embedding array<double>"), shard=2).collect()
+        results.append(sorted(tuple(r) for r in got))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    want = sorted((r[0], r[1], r[2], r[3]) for r in con.execute(f"SELECT query_id, rank, vec_id, score FROM ({topk.TOP_SQL})").fetchall())
+    assert results[0] == results[1] == want and (0, 2, 2, 6 << 16) in want
