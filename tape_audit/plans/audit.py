@@ -18,12 +18,15 @@ from tape_audit.config import Policy
 from tape_audit.operators.staging import stage
 from tape_audit.plans import judgement, rules, tables
 from tape_audit.plans.catalog import RULESET_VERSION
+from tape_audit.plans.evidence import ROW_EVIDENCE, repeated_ids, row_evidence
 from tape_audit.plans.health import combine, finish, partial
 from tape_audit.plans.ledger import KEY, Ledger, TapeRefusedError, build_ledger, check_schema, resolve_as_of
 from tape_audit.plans.rollups import (
     check_groups, publication_status, row_accounting, tier_shares, triage_rank, verdict_rollup,
 )
-from tape_audit.plans.tape_checks import TapeFacts, amount_profile, fact_checks, flagged_profile, tape_facts, tape_findings
+from tape_audit.plans.tape_checks import (
+    ROW_IDENTITY, TapeFacts, amount_profile, fact_checks, flagged_profile, shared_row_members, tape_facts, tape_findings,
+)
 from tape_audit.sources import sinks
 
 VERDICT_KEEP = [*KEY, "loan_id", "loan_status"]
@@ -93,7 +96,7 @@ def audit_rows(raw: DataFrame, policy: Policy = Policy()) -> RowAudit:
     state = {
         "rows": raw.select(*KEY), "results": results, "quarantine": quarantine,
         "payments": tables.payments_table(ledger, policy), "coverage": tables.coverage_table(assessed, policy, as_of),
-        "profile": tables.profile_table(assessed),
+        "profile": tables.profile_table(assessed), **row_evidence(ledger, policy),
         "loan_facts": facts.loans, "paid_facts": facts.paid, "round_facts": facts.rounds,
         "health": partial(raw, ledger.loans, ledger.payments, quarantine, policy),
     }
@@ -114,7 +117,8 @@ def finish_audit(state: dict[str, DataFrame], policy: Policy, columns: list[str]
         "loan_results": judgement.public_results(results),
         "rule_outcomes": outcomes,
         "findings": judgement.long_findings(results),
-        **{name: state[name] for name in ("payments", "coverage", "profile")},
+        **{name: state[name] for name in ("payments", "coverage", "profile", *ROW_EVIDENCE)},
+        "repeated_ids": repeated_ids(facts.loans), "shared_records": shared_row_members(facts.paid, ROW_IDENTITY, "loan_id"),
         "tape_checks": checks, "tape_findings": tape_findings(checks), "amount_profile": amount_profile(facts, policy),
         "flagged_profile": flagged_profile(results),
         "health": finish(combine(state["health"]), check_schema(columns, policy.dictionary), source),

@@ -293,9 +293,9 @@ def reduced_before(reductions: DataFrame, probes: DataFrame) -> DataFrame:
     )
 
 
-def interest_accrual(ledger: Ledger, policy: Policy) -> DataFrame:
-    """Instalment interest against balance x rate / 12: one row per loan with the number of checked and
-    missed instalments and the isolated material excesses."""
+def interest_days(ledger: Ledger, policy: Policy) -> DataFrame:
+    """Instalment interest against balance x rate / 12: one row per loan and due date with the number of checked and
+    missed instalments, and whether a material excess stands alone."""
     c, tol = F.col, policy.tolerance
     rows = ledger.payments.filter(
         (c("type") == "interest") & c("is_interest_row") & ~c("is_closure_row")
@@ -348,7 +348,13 @@ def interest_accrual(ledger: Ledger, policy: Policy) -> DataFrame:
         & (c("rate") != 0) & c("disbursal_date").isNotNull()
         & (c("amount") - upper > F.greatest(F.lit(tol.interest_eur), tol.instalment_interest_rel * upper))
     )
-    return daily.withColumn("_isolated", F.coalesce(isolated, F.lit(False))).groupBy(*KEY).agg(
+    return daily.withColumn("_isolated", F.coalesce(isolated, F.lit(False)))
+
+
+def interest_accrual(ledger: Ledger, policy: Policy) -> DataFrame:
+    """One row per loan with the number of checked and missed instalments and the isolated material excesses."""
+    c = F.col
+    return interest_days(ledger, policy).groupBy(*KEY).agg(
         F.sum("n").alias("interest_checked"), F.sum("misses").alias("interest_missed"),
         F.count_if("_isolated").alias("interest_isolated"),
         F.min(F.when(c("misses") > 0, c("day"))).alias("interest_first_miss"),

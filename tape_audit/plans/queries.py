@@ -21,13 +21,14 @@ from tape_audit.operators.sequences import behaviour_profile, late_runs
 from tape_audit.operators.staging import shared_dir, stage
 from tape_audit.plans import driver_tables as D
 from tape_audit.plans import features as X
-from tape_audit.plans import batches, health, judgement, rollups, rules, tables
+from tape_audit.plans import batches, evidence, health, judgement, rollups, rules, tables
 from tape_audit.plans import oracles as O
 from tape_audit.plans import tape_checks as TC
 from tape_audit.plans.audit import assess_ledger, verdicts
 from tape_audit.plans.ledger import KEY, Ledger, build_ledger, infer_as_of, to_loans, with_row_index
 from tape_audit.sources import sinks
-from tape_audit.streaming.onboard import incremental
+from tape_audit.sources.reader import lines_are_rows, read_tape
+from tape_audit.streaming.onboard import onboard_files, published
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1087,16 +1088,118 @@ def output_redaction(spark: SparkSession, sf: str) -> DataFrame:
 @register("""SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
   FROM events GROUP BY event_type""")
 def stream_onboarding(spark: SparkSession, sf: str) -> DataFrame:
-    """Files arriving in a stream: each micro-batch is reduced and published once, keyed by its epoch."""
+    """Files arriving in a stream: several make a run, each run publishes its totals once, and a file delivered again
+    under another name adds nothing."""
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    source = spark.readStream.schema(D.table(spark, sf, "events").schema).option("maxFilesPerTrigger", 1).option(
-        "pathGlobFilter", "events.parquet").parquet(sf)
+    events = D.table(spark, sf, "events")
+    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    events.repartition(files, "event_id").write.parquet(f"{base}/in")
+
+    def totals(rows: DataFrame) -> dict[str, DataFrame]:
+        return {"totals": rows.groupBy("event_type").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.bround(F.col("value") * 100).cast("bigint")).alias("cents"))}
+
+    def arrive() -> None:
+        source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES_PER_RUN).parquet(f"{base}/in")
+        onboard_files(source, f"{base}/out", f"{base}/checkpoint", totals).awaitTermination()
+
+    arrive()
+    redeliver(spark, f"{base}/in")
+    arrive()
+    return published(spark, f"{base}/out", "totals").groupBy("event_type").agg(
+        F.sum("n").alias("n"), F.sum("cents").alias("cents"))
 
-    def publish(rows: DataFrame, epoch: int) -> None:
-        rows.groupBy("event_type").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.bround(F.col("value") * 100).cast("bigint")).alias("cents"),
-        ).write.mode("overwrite").parquet(f"{base}/out/epoch={epoch}")
 
-    incremental(source, publish, f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(
-        F.sum("n").alias("n"), F.sum("cents").alias("cents"))
+FILES_PER_RUN = 64
+
+
+def redeliver(spark: SparkSession, folder: str) -> None:
+    """Puts the first file of a folder there once more, under another name."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    conf, first = spark._jsc.hadoopConfiguration(), sorted(spark.read.parquet(folder).inputFiles())[0]
+    at = fs.Path(first)
+    system = at.getFileSystem(conf)
+    fs.FileUtil.copy(system, at, system, fs.Path(at.getParent(), "again-" + at.getName()), False, conf)
+
+
+# ---- sources --------------------------------------------------------------------------------------
+
+_NOTES = """SELECT c_custkey, concat(c_name, CASE WHEN c_custkey % 5 = 0 THEN ' says "yes", often' WHEN c_custkey % 5 = 1 THEN ', later'
+  ELSE '' END) AS note, c_mktsegment FROM customer"""
+
+
+@register(f"""WITH t AS ({_NOTES}) SELECT source, by_line, CAST(c_custkey AS VARCHAR) AS custkey,
+  CASE WHEN source = 'broken' AND c_custkey % 7 = 0 THEN concat(note, chr(10), 'next "line') ELSE note END AS note, c_mktsegment AS segment
+  FROM t CROSS JOIN (VALUES ('plain', 1), ('broken', 0), ('lines', NULL), ('columns', NULL)) v(source, by_line)""")
+def source_scans(spark: SparkSession, sf: str) -> DataFrame:
+    """The customers written and read as CSV whose lines are rows, as CSV with line breaks inside quotes, as JSON lines
+    and as Parquet; ``by_line`` says whether a CSV file was proven splittable."""
+    base, c = f"{shared_dir(spark)}/sources-{uuid.uuid4().hex}", F.col
+    k = c("c_custkey")
+    end = F.when(k % 5 == 0, ' says "yes", often').when(k % 5 == 1, ", later").otherwise("")
+    told = D.table(spark, sf, "customer").select(
+        k.cast("string").alias("custkey"), F.concat("c_name", end).alias("note"), c("c_mktsegment").alias("segment"))
+    broken = told.withColumn("note", F.when(c("custkey").cast("long") % 7 == 0, F.concat("note", F.lit('\nnext "line'))).otherwise(c("note")))
+    for name, df in (("plain", told), ("broken", broken)):
+        df.write.csv(f"{base}/{name}.csv", header=True, quote='"', escape='"')
+    told.write.json(f"{base}/lines.jsonl")
+    told.write.parquet(f"{base}/columns.parquet")
+    out = None
+    for name, suffix in (("plain", "csv"), ("broken", "csv"), ("lines", "jsonl"), ("columns", "parquet")):
+        path = f"{base}/{name}.{suffix}"
+        by_line = F.lit(int(lines_are_rows(spark, path)) if suffix == "csv" else None).cast("int")
+        part = read_tape(spark, path).select(F.lit(name).alias("source"), by_line.alias("by_line"), "custkey", "note", "segment")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ---- evidence -------------------------------------------------------------------------------------
+
+def _varies(name: str, value: str) -> str:
+    return f"CASE WHEN count(DISTINCT {value}) + CAST(count(*) > count({value}) AS INTEGER) > 1 THEN '{name}' END"
+
+
+@register(f"""{O.BASE} SELECT id AS source_row_index, type, CAST(due AS VARCHAR) AS due_date, CAST(sum(copies) AS BIGINT) AS records,
+  CAST(bool_or(NOT is_paid) AS INTEGER) AS any_unpaid, concat_ws(';', {_varies('amount', 'amount')}, {_varies('pending_amount', 'pending')},
+  {_varies('state', 'state')}, {_varies('actual_date', 'actual')}) AS differs_in, CAST(round(min(amount) * 100) AS BIGINT) AS least_cents,
+  CAST(round(max(amount) * 100) AS BIGINT) AS largest_cents, CAST(min(seq) AS BIGINT) AS first_record, CAST(max(seq) AS BIGINT) AS last_record
+  FROM pay WHERE regular AND type IN ('principal', 'interest', 'contract fee repayment') AND due IS NOT NULL
+  GROUP BY id, type, due HAVING sum(copies) > 1""")
+def slot_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """Due dates with several different records of one type, and the fields in which they differ."""
+    cents = lambda n: big(F.round(F.col(n) * 100))
+    return evidence.slot_conflicts(ledger(spark, sf).payments).select(
+        "source_row_index", "type", iso("due_date").alias("due_date"), "records", F.col("any_unpaid").cast("int").alias("any_unpaid"),
+        "differs_in", cents("least_amount").alias("least_cents"), cents("largest_amount").alias("largest_cents"), "first_record", "last_record")
+
+
+@register(f"""{O.BASE}, days AS (SELECT DISTINCT id, due FROM pay WHERE regular AND type = 'principal' AND due IS NOT NULL),
+  steps AS (SELECT id, due, lag(due) OVER (PARTITION BY id ORDER BY due) AS prior, count(*) OVER (PARTITION BY id) AS n FROM days)
+  SELECT id AS source_row_index, CAST(prior AS VARCHAR) AS from_date, CAST(due AS VARCHAR) AS to_date,
+  CAST(datediff('day', prior, due) AS BIGINT) AS days, CASE WHEN datediff('day', prior, due) > 45 THEN 'gap' ELSE 'double' END AS kind
+  FROM steps WHERE n >= 3 AND (datediff('day', prior, due) > 45 OR datediff('day', prior, due) < 20)""")
+def schedule_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Gaps and doubles between neighbouring principal due dates."""
+    return evidence.schedule_steps(ledger(spark, sf).payments, POLICY).select(
+        "source_row_index", iso("from_date").alias("from_date"), iso("to_date").alias("to_date"), big("days").alias("days"), "kind")
+
+
+@register(f"""{O.BASE}, {O.ACCRUAL} SELECT id AS source_row_index, CAST(due AS VARCHAR) AS due_date, CAST(sum(copies) AS BIGINT) AS checked,
+  CAST(sum(copies) FILTER (WHERE miss) AS BIGINT) AS missed, CAST(round(max(amount) * 100) AS BIGINT) AS largest_cents,
+  CAST(round(max(balance) * 100) AS BIGINT) AS balance_cents FROM imiss GROUP BY id, due HAVING bool_or(miss)""")
+def interest_misses(spark: SparkSession, sf: str) -> DataFrame:
+    """Due dates whose interest differs from what the balance yields."""
+    c = F.col
+    return evidence.interest_misses(staged_ledger(spark, sf), POLICY).select(
+        "source_row_index", iso("due_date").alias("due_date"), big("checked").alias("checked"), big("missed").alias("missed"),
+        big(F.round(c("largest_amount") * 100)).alias("largest_cents"), big(F.round(c("balance") * 100)).alias("balance_cents"))
+
+
+@register("""WITH t AS (SELECT o_orderkey, o_orderkey - CASE WHEN o_orderkey % 499 = 5 THEN 1 ELSE 0 END AS loan_id FROM orders),
+  n AS (SELECT loan_id, count(*) AS rows FROM t GROUP BY loan_id HAVING count(*) > 1)
+  SELECT o_orderkey AS source_row_index, loan_id, CAST(rows AS BIGINT) AS rows FROM t JOIN n USING (loan_id)""")
+def repeated_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that share their loan id with another, some planted."""
+    loans, c = D.order_loans(D.table(spark, sf, "orders")), F.col
+    planted = loans.withColumn("loan_id", c("loan_id") - F.when(c("source_row_index") % 499 == 5, 1).otherwise(0))
+    return evidence.repeated_ids(planted).select("source_row_index", "loan_id", "rows")

@@ -2,6 +2,9 @@
 
 No state is kept in the stream. A run id made of source content, policy, rules and as-of date makes a repeated
 batch or a re-delivered file a no-op.
+
+``publish_files`` does the same for files that add to tables: a run is what is new in a micro-batch of several files, its
+tables are written before its marker, and readers see only the tables of marked runs.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from tape_audit.config import Policy
 from tape_audit.operators.staging import stage
 from tape_audit.plans.audit import audit, run_id, write_audit
 from tape_audit.plans.ledger import with_row_index
-from tape_audit.sources.reader import content_digest
+from tape_audit.sources.reader import content_digest, grouped_digest
 from tape_audit.sources.sinks import publish_table
 
 
@@ -73,6 +76,49 @@ def incremental(source: DataFrame, process: Callable[[DataFrame, int], None], ch
     )
 
 
+SOURCE_FILE = "_source_file"
+DELIVERIES = "deliveries"
+
+
+def deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """(run, digest, file, rows) of every file whose run is published."""
+    schema = "digest string, file string, rows long, run string"
+    if not _exists(spark, f"{folder}/{DELIVERIES}"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{folder}/{DELIVERIES}")
+
+
+def publish_files(rows: DataFrame, folder: str, make: Callable[[DataFrame], dict[str, DataFrame]]) -> str | None:
+    """Publishes the tables that ``make`` gives for the new files of ``rows`` (with their path in ``SOURCE_FILE``), and
+    returns the run, or None where every file is known. A file is known by its content, whatever its name.
+
+    The run is named after its content and its marker is written last, as one file. A run that died half-way is not
+    seen by ``published``; done again, it replaces what it had written."""
+    spark = rows.sparkSession
+    files = grouped_digest(rows, [SOURCE_FILE]).groupBy("digest").agg(F.min(SOURCE_FILE).alias("file"), F.max("rows").alias("rows"))
+    fresh = stage(files.join(deliveries(spark, folder).select("digest"), "digest", "left_anti"), "fresh")
+    if fresh.isEmpty():
+        return None
+    # one digest for each file of the micro-batch, whose number the stream limits
+    run = "r" + fresh.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("digest")), ","), 256).alias("run")).first()["run"][:31]
+    new = rows.join(fresh.select(F.col("file").alias(SOURCE_FILE)), SOURCE_FILE, "left_semi").drop(SOURCE_FILE)
+    for name, df in make(new).items():
+        df.write.mode("overwrite").parquet(f"{folder}/{name}/run={run}")
+    fresh.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{DELIVERIES}/run={run}")
+    return run
+
+
+def published(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The rows of a table that finished runs have written, with their ``run``."""
+    return spark.read.parquet(f"{folder}/{name}").join(deliveries(spark, folder).select("run").distinct(), "run", "left_semi")
+
+
+def onboard_files(source: DataFrame, folder: str, checkpoint: str, make: Callable[[DataFrame], dict[str, DataFrame]]) -> StreamingQuery:
+    """Publishes what has arrived in a file stream, then stops. ``maxFilesPerTrigger`` of the source bounds a run."""
+    named = source.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    return incremental(named, lambda rows, _epoch: publish_files(rows, folder, make), checkpoint)
+
+
 def policy_for(as_of: str, base: dict | None = None) -> Policy:
     """Policy of one delivery: the as-of text must be a canonical ISO date."""
     parsed = date.fromisoformat(as_of)
