@@ -1203,3 +1203,16 @@ def repeated_ids(spark: SparkSession, sf: str) -> DataFrame:
     loans, c = D.order_loans(D.table(spark, sf, "orders")), F.col
     planted = loans.withColumn("loan_id", c("loan_id") - F.when(c("source_row_index") % 499 == 5, 1).otherwise(0))
     return evidence.repeated_ids(planted).select("source_row_index", "loan_id", "rows")
+
+
+# ---- annotations ----------------------------------------------------------------------------------
+
+@register(f"""{O.JUDGED} SELECT id AS source_row_index, verdict, tier, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH')
+  THEN o_orderpriority END AS note FROM judged JOIN orders ON o_orderkey = id""")
+def annotated_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdicts with a note from another table, through the gate that proves them unchanged."""
+    c = F.col
+    notes = D.table(spark, sf, "orders").filter(c("o_orderpriority").isin("1-URGENT", "2-HIGH")).select(
+        F.lit(D.TAPE_ID).alias("tape_id"), c("o_orderkey").alias("source_row_index"), c("o_orderpriority").alias("note"))
+    made = rollups.annotated(judged(spark, sf)[1], lambda results: rollups.annotate(results, notes))
+    return made.select("source_row_index", "verdict", "tier", "note")
