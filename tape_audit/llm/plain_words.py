@@ -26,7 +26,9 @@ class PlainWords:
     def __init__(self, tokenizer: Tokenizer) -> None:
         self.model = tokenizer.model
         letters = byte_letters()
-        self.letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in (32, *range(128, ord(LATIN_END)))}
+        latin = range(128, ord(LATIN_END))
+        lower = {ord(x) for c in latin for x in chr(c).lower()}  # of some letters it lies beyond
+        self.letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in {32, *latin, *lower}}
 
     @staticmethod
     def is_plain(word: str) -> bool:
