@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tape_audit.llm.buffers import raw_texts
+from tape_audit.llm.buffers import raw_texts, released
 
 FOLDS = 5  # one in so many documents, by checksum of its id, is held out
 ROWS_PER_LANGUAGE = 2_000  # labelled rows that the model is fitted on, about; a hash of the id chooses them
@@ -61,6 +61,7 @@ def _grams(word: str, longest: int) -> Iterator[str]:
             yield "\x01" + padded[i : i + n]
 
 
+@released
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts: dict[str, Counter] = {}
@@ -178,6 +179,7 @@ def language(model: Model, text: Column | str) -> Column:
     the function."""
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64())])
 
+    @released
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(model)
         for texts in batches:

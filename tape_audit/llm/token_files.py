@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tape_audit.llm.buffers import release, released
 from tape_audit.llm.elias_fano import EliasFano
 from tape_audit.llm.plain_words import PlainWords
 from tape_audit.operators.staging import stage, staged_root
@@ -134,6 +135,7 @@ def _ascending(doc_ids: list[int | None]) -> tuple[int, int, np.ndarray]:
     return len(doc_ids) - len(known), base, known.view(np.uint64) - np.uint64(base & (1 << 64) - 1)
 
 
+@released
 def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, by_word: bool, end_id: int) -> Iterator[pa.RecordBatch]:
     encoder, lengths, doc_ids, sink = None, [], [], None
     for batch in batches:
@@ -149,6 +151,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, by_wo
             ids, counts = with_end(*encoder.batch(texts), end_id)
             sink.write(ids.astype(f"<u{width}", copy=False).tobytes())
             lengths += counts.tolist()
+            release()
         doc_ids += batch.column("doc_id").to_pylist()
     if sink is None:
         return
@@ -214,6 +217,7 @@ class TokenFile:
             i = upto
 
 
+@released
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "start", "n_tokens", "ids_crc32"]
     for batch in batches:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -102,3 +103,27 @@ def test_attribution_equals_brute_force(spark, rule):
         want.append((doc_id, len(offsets), len(counts), crossing, [b - a for a, b in zip(edges, edges[1:])], counts))
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert sum(r["crossing"] for r in got) > 100
+
+
+def test_every_latin_letter_encodes_like_whole_texts():
+    """Of a few letters the small form lies beyond the Latin blocks, or in another one."""
+    letters = [chr(c) for c in range(0xC0, 0x250)]
+    ids, counts = ENCODER.batch(pa.array(letters))
+    whole = [TOKENIZER.encode(x, add_special_tokens=False).ids for x in letters]
+    assert counts.tolist() == [len(w) for w in whole] and ids.tolist() == sum(whole, [])
+
+
+def _own_mb() -> float:
+    return sum(int(line.split()[1]) for line in Path("/proc/self/smaps_rollup").read_text().splitlines() if line.startswith("Pss_Anon")) / 1024
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="needs Linux")
+def test_a_finished_task_holds_no_freed_memory(tmp_path):
+    """What stays in an idle worker adds to the memory of the next stage's executor."""
+    texts = [" ".join(f"w{i * k % 997}" for k in range(300)) for i in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    files = list(token_files._write(iter([batch]), tmp_path.as_uri(), WORD, True, 1))
+    assert files[0].column("n_docs").to_pylist() == [len(texts)]
+    held = _own_mb()
+    pa.default_memory_pool().release_unused()
+    assert held - _own_mb() < 10
