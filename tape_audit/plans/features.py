@@ -275,13 +275,15 @@ def daily_reductions(payments: DataFrame) -> DataFrame:
     )
 
 
-def reduced_before(reductions: DataFrame, probes: DataFrame) -> DataFrame:
+def reduced_before(reductions: DataFrame, probes: DataFrame, parts: int | None = None) -> DataFrame:
     """As-of lookup without a theta join: total reduction strictly before each (loan, day) of ``probes``.
     Both sides are at day grain, so the running sum per loan is bounded by the calendar. A total that a long cannot
-    hold, or that follows a NULL reduction, is NULL."""
+    hold, or that follows a NULL reduction, is NULL. A union loses the dealing by loan: with ``parts``, that of the stored
+    payments, its rows are dealt so again, once for all steps that follow."""
     both = reductions.select(*KEY, "day", "reduction", F.lit(False).alias("_probe")).unionByName(
         probes.select(*KEY, "day", F.lit(0).cast("bigint").alias("reduction"), F.lit(True).alias("_probe"))
     )
+    both = both if parts is None else both.repartition(parts, "source_row_index")
     merged = both.groupBy(*KEY, "day").agg(
         F.try_sum("reduction").alias("reduction"), F.max("_probe").alias("_probe"),
         F.max(F.col("reduction").isNull()).alias("_lost"))
@@ -301,7 +303,7 @@ def interest_days(ledger: Ledger, policy: Policy) -> DataFrame:
         (c("type") == "interest") & c("is_interest_row") & ~c("is_closure_row")
         & c("due_date").isNotNull() & c("amount").isNotNull()
     ).select(*KEY, c("due_date").alias("day"), "amount", "copies", "payment_seq")
-    balances = reduced_before(daily_reductions(ledger.payments), rows.select(*KEY, "day").distinct())
+    balances = reduced_before(daily_reductions(ledger.payments), rows.select(*KEY, "day").distinct(), None if ledger.giant_loans else ledger.parts)
     terms = ledger.loans.select(*KEY, "loan_amount", "interest_rate", "disbursal_date")
     expected = (
         balances.filter("reduced IS NOT NULL").join(terms, KEY)

@@ -49,3 +49,10 @@ def test_stored_cells_are_decoded_by_many_tasks(spark):
     build_ledger(DT.raw_tape(spark, SF), Q.TAPE_POLICY, stager=lambda t: seen.append(t) or t)
     assert seen[0].rdd.getNumPartitions() == spread(spark) > 1
     assert len(Q.staged_tape(spark, SF).inputFiles()) == spread(spark)
+
+
+def test_interest_is_exchanged_once_beside_the_loans(spark):
+    """Reductions and probes of the days are united and dealt by loan again; nothing after that moves."""
+    led = DT.order_ledger(spark, SF).staged()
+    plan = plan_of(X.interest_accrual(led, Policy()))
+    assert plan.count("Exchange hashpartitioning") - plan.count("REPARTITION_BY_NUM") == 0
