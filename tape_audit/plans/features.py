@@ -16,6 +16,7 @@ from tape_audit.config import Policy
 from tape_audit.functions import irr
 from tape_audit.functions.money import euros
 from tape_audit.operators import conventions as C
+from tape_audit.operators.staging import stage, stage_by
 from tape_audit.plans.ledger import KEY, Ledger
 
 # A (days, date) pair packed into one long, so that the worst case and its date come out of one plain max.
@@ -295,15 +296,36 @@ def reduced_before(reductions: DataFrame, probes: DataFrame, parts: int | None =
     )
 
 
+def _balance_days(payments: DataFrame, instalment: Column) -> DataFrame:
+    """Total reduction strictly before each (loan, day) on which an ``instalment`` is due: ``reduced_before`` of
+    ``daily_reductions`` and these days, from one reading of payments and without an exchange of a union."""
+    c = F.col
+    events = payments.select(
+        *KEY,
+        F.explode(F.array(
+            F.struct(c("actual_date").alias("day"), F.when((c("is_schedule_row") | c("is_settlement_cash")) & (c("paid_eur") > 0), c("paid_micros")).alias("m"),
+                     F.lit(False).alias("probe")),
+            F.struct(c("due_date").alias("day"), F.when(c("is_schedule_row"), c("exposure_micros")).alias("m"), instalment.alias("probe")),
+        )).alias("e"),
+        "copies",
+    ).filter(c("e.day").isNotNull() & (F.coalesce(c("e.m") != 0, F.lit(False)) | c("e.probe")))
+    days = events.groupBy(*KEY, c("e.day").alias("day")).agg(
+        folded_sum(c("e.m")).alias("reduction"), F.max(c("e.probe")).alias("_probe"))
+    before = Window.partitionBy(*KEY).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    return days.withColumn(
+        "reduced", F.when(F.count("*").over(before) == 0, F.lit(0).cast("bigint"))
+        .when(~F.max(c("reduction").isNull()).over(before), F.try_sum("reduction").over(before))
+    ).filter("_probe").select(*KEY, "day", "reduced")
+
+
 def interest_days(ledger: Ledger, policy: Policy) -> DataFrame:
     """Instalment interest against balance x rate / 12: one row per loan and due date with the number of checked and
     missed instalments, and whether a material excess stands alone."""
     c, tol = F.col, policy.tolerance
-    rows = ledger.payments.filter(
-        (c("type") == "interest") & c("is_interest_row") & ~c("is_closure_row")
-        & c("due_date").isNotNull() & c("amount").isNotNull()
-    ).select(*KEY, c("due_date").alias("day"), "amount", "copies", "payment_seq")
-    balances = reduced_before(daily_reductions(ledger.payments), rows.select(*KEY, "day").distinct(), None if ledger.giant_loans else ledger.parts)
+    instalment = F.coalesce((c("type") == "interest") & c("is_interest_row") & ~c("is_closure_row")
+                            & c("due_date").isNotNull() & c("amount").isNotNull(), F.lit(False))
+    rows = ledger.payments.filter(instalment).select(*KEY, c("due_date").alias("day"), "amount", "copies", "payment_seq")
+    balances = _balance_days(ledger.payments, instalment)
     terms = ledger.loans.select(*KEY, "loan_amount", "interest_rate", "disbursal_date")
     expected = (
         balances.filter("reduced IS NOT NULL").join(terms, KEY)
@@ -398,12 +420,14 @@ def realised_rates(ledger: Ledger, candidates: DataFrame, policy: Policy) -> Dat
     when due. ``candidates`` are the loans that pass every guard, with their opening and closing flows."""
     c = F.col
     live = c("loan_status") == "granted"
-    opening = candidates.select(
-        *KEY, c("disbursal_date").alias("day"), (-c("loan_amount")).alias("paid"),
-        (-c("loan_amount")).alias("scheduled"))
-    closing = candidates.filter(live).select(
-        *KEY, F.lit(ledger.as_of).alias("day"), c("outstanding_principal").alias("paid"),
-        c("outstanding_principal").alias("scheduled"))
+    # three readers of few rows: without storing them, each would add up all payments again
+    candidates = stage(candidates, "candidates") if ledger.giant_loans or ledger.parts is None else stage_by(
+        candidates, "candidates", "source_row_index", ledger.parts)
+    flow = lambda day, value: F.struct(day.alias("day"), value.alias("paid"), value.alias("scheduled"))
+    ends = candidates.select(*KEY, F.explode(F.array_compact(F.array(
+        flow(c("disbursal_date"), -c("loan_amount")),
+        F.when(live, flow(F.lit(ledger.as_of), c("outstanding_principal"))),
+    ))).alias("e")).select(*KEY, "e.*")
     cash = ledger.payments.filter("paid_eur > 0 AND actual_date IS NOT NULL").join(
         candidates.select(*KEY), KEY, "left_semi")
     on_time = F.when(c("is_regular") & (c("actual_date") > c("due_date")), c("due_date")).otherwise(
@@ -414,7 +438,7 @@ def realised_rates(ledger: Ledger, candidates: DataFrame, policy: Policy) -> Dat
         F.struct(c("actual_date").alias("day"), value.alias("paid"), zero.alias("scheduled")),
         F.struct(on_time.alias("day"), zero.alias("paid"), value.alias("scheduled")),
     )).alias("e")).select(*KEY, "e.*")
-    flows = opening.unionByName(closing).unionByName(moved)
+    flows = ends.unionByName(moved)
     rates = irr.xirr(flows, KEY, "day", {"paid": "paid", "scheduled": "scheduled"},
                      policy.irr.low_rate_floor, policy.irr.high_rate_ceiling)
     return rates.select(*KEY, c("paid").alias("xirr"), c("scheduled").alias("xirr_on_schedule"))

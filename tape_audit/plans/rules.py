@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from tape_audit.config import SEVERITIES, Policy
 from tape_audit.functions.money import eur_text, euros, money
 from tape_audit.operators.sequences import behaviour_profile, trailing_unpaid
 from tape_audit.plans import features as X
-from tape_audit.plans.catalog import BY_ID, EVIDENCE_CATEGORIES, ORDINAL, RULES
+from tape_audit.plans.catalog import BY_ID, DEFAULT_RULES, EVIDENCE_CATEGORIES, ORDINAL, RULES, WATCH_RULES
 from tape_audit.plans.ledger import KEY, Ledger
 
 # Summary fields whose parse issues count as numeric or date faults.
@@ -51,6 +53,16 @@ FIXED_MESSAGES = {
 }
 
 PARTS = ("main", "calendar", "claims", "accrual", "rates", "profile", "tail")
+#: Parts, and columns of the other parts, that texts and the tables by loan read and no check, severity or cause.
+TOLD_PARTS = ("profile",)
+TOLD_COLUMNS = (
+    "loan_id_raw", "diary_raw_chars", "dropped_tail_chars", "n_all", "n_insane", "foreign_example", "n_closure", "n_open_part_undated",
+    "last_due", "last_actual", "w_stale_grace", "min_delay", "w_mislabelled", "n_claim", "n_unpaid", "m_overdue_default", "n_regular",
+    "n_regular_paid", "n_early_rows", "n_termination_cash", "n_state_overdue", "m_state_overdue", "max_state_dpd", "next_due",
+    "m_paid_principal_type", "m_paid_fee_type", "m_paid_via_closure", "m_settlement_paid", "due_late_default", "due_overdue_default",
+    "due_open", "periods", "periods_interest", "periods_principal", "periods_interest_only", "interest_first_miss",
+    "interest_first_isolated", "unpaid_since",
+)
 _COUNTS = (
     "due_late_default", "due_overdue_default", "due_open", "periods", "periods_interest",
     "periods_principal", "periods_interest_only", "principal_dates", "schedule_gaps", "schedule_doubles",
@@ -61,7 +73,8 @@ _COUNTS = (
 
 def assess(ledger: Ledger, policy: Policy = Policy(), parts: tuple[str, ...] = PARTS) -> DataFrame:
     """One row per loan: typed summary fields and the payment features of ``parts``. Loans without records
-    survive. ``ledger`` must be prepared; with several parts its payments should be staged first."""
+    survive. ``ledger`` must be prepared; with several parts its payments should be staged first. What is joined is one
+    struct of each part, so that a join copies a handful of columns and not all features that were joined before."""
     c, p, giant = F.col, ledger.payments, ledger.giant_loans
     build = {
         "main": lambda: X.loan_measures(p, policy, ledger.as_of),
@@ -72,15 +85,23 @@ def assess(ledger: Ledger, policy: Policy = Policy(), parts: tuple[str, ...] = P
         "profile": lambda: behaviour_profile(p, policy, giant=giant),
         "tail": lambda: trailing_unpaid(p, giant=giant),
     }
-    wide = ledger.loans
+    own = [n for n in ledger.loans.columns if n not in KEY]
+    wide, columns = _packed(ledger.loans, "_loan"), [c("_loan")[n].alias(n) for n in own]
     for name in parts:
-        wide = wide.join(build[name](), KEY, "left")
+        part = build[name]()
+        wide = wide.join(_packed(part, f"_{name}"), KEY, "left")
+        columns += [c(f"_{name}")[n].alias(n) for n in part.columns if n not in KEY]
+    wide = wide.select(*KEY, *columns)
     zero = [n for n in wide.columns if (n[:2] in ("n_", "m_") and n != "n_records") or n in _COUNTS]
     sums = [n for n, m in X._measures(policy, ledger.as_of).items() if m[0] == "sum"] if "main" in parts else []
     absent = {n: c("n_regular").isNull() if n in sums else c(n).isNull() for n in zero}  # a NULL sum of a loan with records is beyond range
     return wide.withColumns({n: F.when(absent[n], F.lit(0).cast("bigint")).otherwise(c(n)) for n in zero})
 
 
+def _packed(df: DataFrame, name: str) -> DataFrame:
+    return df.select(*KEY, F.struct(*[n for n in df.columns if n not in KEY]).alias(name))
+
+
 def text(*parts: object) -> Column:
     return F.concat(*[
         F.lit(p) if isinstance(p, str)
@@ -656,25 +677,65 @@ def _severity(rule_id: str, check: Check, policy: Policy) -> Column:
     return default if check.severity is None else F.coalesce(check.severity, default)
 
 
+def _rank(rule_id: str, check: Check, policy: Policy) -> Column:
+    severity = _severity(rule_id, check, policy)
+    return (F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), severity) - 1).cast("int")
+
+
+def _cause(rule_id: str, check: Check, ids: list[str]) -> Column:
+    """The first failed rule that explains this one's failure, NULL if none does or it stands alone."""
+    cause = F.lit(None).cast("string")
+    for other in reversed([i for i in BY_ID[rule_id].subsumed_by if i in ids]):
+        cause = F.when(_fires(other), other).otherwise(cause)
+    return cause if check.standalone is None else F.when(~F.coalesce(check.standalone, F.lit(False)), cause)
+
+
 def _fired(rule_id: str, check: Check, policy: Policy, told: bool) -> Column:
-    """Everything the judgement needs about a failed check, NULL otherwise; metadata is literal. Message and evidence are
-    made only where they are ``told``."""
+    """All that is known of a failed check, NULL otherwise; metadata is literal. Message and evidence are made only where
+    they are ``told``."""
     info = BY_ID[rule_id]
     pairs = [x for k, v in check.evidence.items() for x in (F.lit(k), v.cast("string"))]
-    severity = _severity(rule_id, check, policy)
-    standalone = F.lit(False) if check.standalone is None else F.coalesce(check.standalone, F.lit(False))
     fixed = FIXED_MESSAGES.get(rule_id)
     words = [check.message.alias("message"), (F.lit(fixed) if fixed else check.message).alias("shown"),
              F.create_map(*pairs).alias("evidence")] if told else []
+    cause = F.col(f"_c_{rule_id}")
     return F.when(_fires(rule_id), F.struct(
         F.lit(rule_id).alias("rule_id"), F.lit(info.category).alias("category"), F.lit(info.axis).alias("axis"),
-        F.lit(info.group).alias("group"), severity.alias("severity"),
-        (F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), severity) - 1).cast("int").alias("rank"),
-        F.lit(ORDINAL[rule_id]).alias("ordinal"), *words, standalone.alias("standalone"),
-        F.array(*[F.lit(x) for x in info.subsumed_by]).cast("array<string>").alias("subsumed_by"),
+        F.lit(info.group).alias("group"), _severity(rule_id, check, policy).alias("severity"),
+        F.col(f"_k_{rule_id}").alias("rank"), F.lit(ORDINAL[rule_id]).alias("ordinal"), *words,
+        cause.isNull().alias("root_cause"), cause.alias("symptom_of"),
     ))
 
 
+def _any(flags: list[Column]) -> Column:
+    return reduce(or_, flags, F.lit(False))
+
+
+def _worst(ranks: list[Column]) -> Column:
+    none = F.lit(None).cast("int")
+    return F.greatest(none, none, *ranks)
+
+
+def _summary(ids: list[str]) -> dict[str, Column]:
+    """What is told of all failed checks of a loan together. Every rule has its own columns, so that no array is built,
+    filtered or sorted for it."""
+    fires, rank = {i: _fires(i) for i in ids}, {i: F.col(f"_k_{i}") for i in ids}
+    reported = {i: fires[i] & (rank[i] > 0) for i in ids}
+    root = {i: reported[i] & F.col(f"_c_{i}").isNull() for i in ids}
+    axes, groups = {i: BY_ID[i].axis for i in ids}, {i: BY_ID[i].group for i in ids}
+    count = lambda flags: sum((F.when(f, 1).otherwise(0) for f in flags.values()), F.lit(0))
+    worst = lambda flags, *only: _worst([F.when(f, rank[i]) for i, f in flags.items() if axes[i] in (only or axes.values())])
+    named = lambda of, flags: [F.when(_any([f for i, f in flags.items() if of[i] == x]), x) for x in sorted({x for x in of.values() if x})]
+    return {
+        "_worst_root": worst(root), "_worst_integrity_root": worst(root, "integrity"), "_worst": worst(reported),
+        "_worst_integrity": worst(reported, "integrity"), "reported_count": count(reported), "root_count": count(root),
+        "rule_ids": F.concat_ws(";", *[F.when(f, i) for i, f in fires.items()]),
+        "root_axes": F.concat_ws("+", *named(axes, root)), "finding_groups": F.concat_ws(";", *named(groups, fires)),
+        "credit_event": F.when(_any([fires[i] for i in DEFAULT_RULES if i in ids]), "default")
+        .when(_any([fires[i] for i in WATCH_RULES if i in ids]), "watch").otherwise("none"),
+    }
+
+
 def _enabled(policy: Policy, only: list[str] | None = None) -> list[str]:
     return [r.rule_id for r in RULES if r.rule_id not in policy.disabled_rules
             and (only is None or r.rule_id in only)]
@@ -694,11 +755,14 @@ def status_columns(assessed: DataFrame, policy: Policy, missing: frozenset[str],
 
 def evaluate(assessed: DataFrame, policy: Policy, missing: frozenset[str], as_of: date,
              keep: list[str], told: bool = True) -> DataFrame:
-    """All enabled rules of a loan: the ``outcomes`` array in evaluation order, the ``fired`` array of failed
-    checks with message and evidence (if ``told``), the three counts, and whether evidence was missing."""
+    """All enabled rules of a loan: the ``outcomes`` array in evaluation order, the ``findings`` array of failed
+    checks with message and evidence (if ``told``) and the first failed rule that explains each, unless it stands alone;
+    the three counts, whether evidence was missing, and the summary of the findings."""
     built = checks(policy, missing, as_of)
     ids = _enabled(policy)
     staged = assessed.select("*", *[_status(built[i]).alias(f"_s_{i}") for i in ids])
+    staged = staged.select("*", *[_rank(i, built[i], policy).alias(f"_k_{i}") for i in ids],
+                           *[_cause(i, built[i], ids).alias(f"_c_{i}") for i in ids])
     count = lambda flag: sum((flag(i).cast("int") for i in ids), F.lit(0))
     gap = F.lit(False)
     for i in ids:
@@ -712,8 +776,8 @@ def evaluate(assessed: DataFrame, policy: Policy, missing: frozenset[str], as_of
             .alias("status"),
             _reason(i, built[i]).alias("reason_code"), _missing(i, built[i]).alias("missing_evidence"),
         ) for i in ids]).alias("outcomes"),
-        F.array_compact(F.array(*[_fired(i, built[i], policy, told) for i in ids])).alias("fired"),
+        F.array_compact(F.array(*[_fired(i, built[i], policy, told) for i in ids])).alias("findings"),
         count(lambda i: F.col(f"_s_{i}") == PASSED).alias("checks_passed"),
         count(_fires).alias("checks_failed"), count(_abstains).alias("checks_not_evaluable"),
-        gap.alias("evidence_gap"),
+        gap.alias("evidence_gap"), *[column.alias(name) for name, column in _summary(ids).items()],
     )
